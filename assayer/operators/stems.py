@@ -1,0 +1,158 @@
+"""Stems and noun lemmas worked out once per distinct term.
+
+The stemmer follows M. F. Porter, "An algorithm for suffix stripping" (1980), with
+the author's later amendments (``bli`` and ``logi``), written as column expressions
+over the vocabulary: one projection per step of the paper.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from assayer.operators.tokens import term_totals
+from assayer.session import settle
+
+# Suffix tables of the paper's steps 2, 3 and 4.
+STEP_2 = {
+    "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize",
+    "bli": "ble", "alli": "al", "entli": "ent", "eli": "e", "ousli": "ous",
+    "ization": "ize", "ation": "ate", "ator": "ate", "alism": "al", "iveness": "ive",
+    "fulness": "ful", "ousness": "ous", "aliti": "al", "iviti": "ive",
+    "biliti": "ble", "logi": "log",
+}
+STEP_3 = {
+    "icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "",
+    "ness": "",
+}
+STEP_4 = [
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent",
+    "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
+]
+
+# A leading y is a consonant, elsewhere y is one only after a vowel.
+CONSONANTS = "(?:^y|[^aeiouy]|(?<=[aeiou])y)"
+VOWELS = "(?:[aeiou]|(?<!^)(?<![aeiou])y)"
+HAS_VOWEL = f"{VOWELS}"
+MEASURE_OVER_0 = f"{VOWELS}{CONSONANTS}"
+MEASURE_OVER_1 = f"{VOWELS}{CONSONANTS}.*{VOWELS}{CONSONANTS}"
+SHORT_END = "(?:^y|[^aeiouy])[aeiouy][^aeiouwxy]$"
+
+
+def before(word: Column, suffix: str) -> Column:
+    return word.substr(F.lit(1), F.length(word) - len(suffix))
+
+
+def strip_suffix(word: Column, table: dict[str, str], condition) -> Column:
+    """The longest matching suffix decides: swapped if its stem meets the condition."""
+    longest_first = sorted(table.items(), key=lambda pair: -len(pair[0]))
+    chain = F
+    for suffix, swap in longest_first:
+        stem = before(word, suffix)
+        outcome = F.when(condition(suffix, stem), F.concat(stem, F.lit(swap))).otherwise(word)
+        chain = chain.when(word.endswith(suffix), outcome)
+    return chain.otherwise(word)
+
+
+def has_measure_over(level: int):
+    pattern = MEASURE_OVER_1 if level else MEASURE_OVER_0
+    return lambda _suffix, stem: stem.rlike(pattern)
+
+
+def stem_terms(terms: DataFrame, term: str = "term", out: str = "root") -> DataFrame:
+    """Add the Porter stem of each term; words of one or two letters stay."""
+    w = F.col("w")
+
+    def step_1a(word: Column) -> Column:
+        return strip_suffix(word, {"sses": "ss", "ies": "i", "ss": "ss", "s": ""}, lambda *_: F.lit(True))
+
+    def after_removal(stem: Column) -> Column:
+        """Tidy the stem that lost ``ed`` or ``ing``."""
+        last, previous = F.substring(stem, -1, 1), F.substring(stem, -2, 1)
+        double = (F.length(stem) > 1) & (last == previous) & last.rlike("[^aeiouylsz]")
+        return (
+            F.when(stem.rlike("(?:at|bl|iz)$"), F.concat(stem, F.lit("e")))
+            .when(double, before(stem, "x"))
+            .when(
+                stem.rlike(MEASURE_OVER_0) & ~stem.rlike(MEASURE_OVER_1) & stem.rlike(SHORT_END),
+                F.concat(stem, F.lit("e")),
+            )
+            .otherwise(stem)
+        )
+
+    cut = F.when(w.endswith("ed"), before(w, "ed")).when(w.endswith("ing"), before(w, "ing"))
+
+    def in_step_4(suffix: str, stem: Column) -> Column:
+        deep = stem.rlike(MEASURE_OVER_1)
+        return deep & stem.rlike("[st]$") if suffix == "ion" else deep
+
+    no_e = before(w, "e")
+    drop_e = no_e.rlike(MEASURE_OVER_1) | (no_e.rlike(MEASURE_OVER_0) & ~no_e.rlike(SHORT_END))
+    steps = [
+        {"w": step_1a(w)},
+        {"cut": F.when(~w.endswith("eed"), cut)},
+        {
+            "w": F.when(w.endswith("eed") & before(w, "eed").rlike(MEASURE_OVER_0), before(w, "d"))
+            .when(F.col("cut").rlike(HAS_VOWEL), after_removal(F.col("cut")))
+            .otherwise(w)
+        },
+        {
+            "w": F.when(
+                w.endswith("y") & before(w, "y").rlike(HAS_VOWEL), F.concat(before(w, "y"), F.lit("i"))
+            ).otherwise(w)
+        },
+        {"w": strip_suffix(w, STEP_2, has_measure_over(0))},
+        {"w": strip_suffix(w, STEP_3, has_measure_over(0))},
+        {"w": strip_suffix(w, dict.fromkeys(STEP_4, ""), in_step_4)},
+        {"w": F.when(w.endswith("e") & drop_e, no_e).otherwise(w)},
+        {"w": F.when(w.endswith("ll") & w.rlike(MEASURE_OVER_1), before(w, "l")).otherwise(w)},
+    ]
+    stepped = reduce(DataFrame.withColumns, steps, terms.withColumn("w", F.col(term)))
+    short = F.length(term) <= 2
+    return stepped.withColumn(out, F.when(short, F.col(term)).otherwise(w)).drop("w", "cut")
+
+
+def stem_dictionary(df: DataFrame, tokens: str) -> DataFrame:
+    """``(term, root, n)`` with the stems of all terms in use."""
+    stems = stem_terms(term_totals(df, tokens))
+    return settle(stems.where(F.col("term") != F.col("root")).select("term", "root", "n"), "stems")
+
+
+# Noun endings and what replaces them.
+NOUN_ENDINGS = {
+    "s": "", "ses": "s", "ves": "f", "xes": "x", "zes": "z", "ches": "ch", "shes": "sh",
+    "men": "man", "ies": "y",
+}
+
+
+def noun_dictionary(
+    df: DataFrame, tokens: str, nouns: DataFrame, exceptions: DataFrame
+) -> DataFrame:
+    """``(term, root, n)`` with noun lemmas from a word list.
+
+    ``nouns(term)`` lists known nouns, ``exceptions(term, root)`` the irregular ones.
+    A term's candidates are itself, its exceptions, and its endings swapped as above;
+    those on the noun list count, and the shortest wins.
+    """
+    used = term_totals(df, tokens)
+    candidates = F.array(
+        F.col("term"),
+        *[
+            F.when(F.col("term").endswith(end), F.concat(before(F.col("term"), end), F.lit(swap)))
+            for end, swap in NOUN_ENDINGS.items()
+        ],
+    )
+    regular = used.select("term", "n", F.explode(F.array_compact(candidates)).alias("root"))
+    irregular = used.join(exceptions.select("term", "root"), "term").select("term", "n", "root")
+    # With an exception on file, only it and the term itself are candidates.
+    regular = regular.join(exceptions.select("term"), "term", "left_anti").unionByName(
+        used.join(exceptions.select("term").distinct(), "term", "left_semi").withColumn("root", F.col("term"))
+    )
+    known = regular.unionByName(irregular).join(
+        nouns.select(F.col("term").alias("root")).distinct(), "root", "left_semi"
+    )
+    best = known.groupBy("term", "n").agg(F.min(F.struct(F.length("root").alias("size"), "root")).alias("pick"))
+    lemmas = best.select("term", F.col("pick.root").alias("root"), "n")
+    return settle(lemmas.where(F.col("term") != F.col("root")), "lemmas")
