@@ -18,7 +18,7 @@ from assayer.operators.sweep import grid_counts
 from assayer.session import settle
 
 KINDS = ("positive", "negative", "indicator")
-INLINE_TERMS = 10_000
+INLINE_TERMS = 1_000
 
 
 def indicator_lexicon(spark: SparkSession) -> DataFrame:
