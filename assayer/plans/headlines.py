@@ -14,9 +14,9 @@ from assayer.functions.text import bigrams, ngram_terms
 from assayer.operators import lexicon as lex
 from assayer.operators import metrics, sweep
 from assayer.operators.split import stratified_split
-from assayer.operators.stems import stem_terms
+from assayer.operators.roots import stem_dictionary
 from assayer.operators.tfidf import fit_vocabulary, tfidf, top_term_lists, top_terms
-from assayer.operators.tokens import dictionary_for, replace_terms, term_totals
+from assayer.operators.tokens import dictionary_for, replace_terms
 from assayer.plans import standins
 from assayer.plans.standins import (
     LEMMA_PATTERN,
@@ -95,7 +95,7 @@ def lemma_tokens(spark: SparkSession, folder: str) -> DataFrame:
 @query("porter_stems")
 def porter_stems(spark: SparkSession, folder: str) -> DataFrame:
     """Every term in use with its count and Porter stem."""
-    return stem_terms(term_totals(headline_tokens(spark, folder), "tokens"))
+    return stem_dictionary(headline_tokens(spark, folder), "tokens")
 
 
 @query(
