@@ -4,11 +4,11 @@ author's later amendments (``bli`` and ``logi``), as one column expression.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from assayer.functions.binding import bind
+
 # Suffix tables of the paper's steps 2, 3 and 4.
 STEP_2 = {
     "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize",
@@ -55,14 +55,6 @@ def has_measure_over(level: int):
     return lambda _suffix, stem: stem.rlike(pattern)
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` applied to ``value`` as a lambda, so that ``value`` is written once.
-
-    Substituted into one another, the steps would grow the expression without end.
-    """
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def step_1a(word: Column) -> Column:
     return strip_suffix(word, {"sses": "ss", "ies": "i", "ss": "ss", "s": ""}, lambda *_: F.lit(True))
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from assayer.functions.binding import bind
+
 
 def clean_text(text: Column) -> Column:
     """Lower-case; anything but ``a-z`` and whitespace becomes a space."""
@@ -48,7 +50,7 @@ def bigrams(tokens: Column) -> Column:
 def ngram_terms(tokens: Column) -> Column:
     """Unigrams and bigrams, over tokens of at least two letters."""
     long_enough = F.filter(tokens, lambda t: F.length(t) > 1)
-    return F.concat(long_enough, bigrams(long_enough))
+    return bind(long_enough, lambda kept: F.concat(kept, bigrams(kept)))
 
 
 def sublinear(tf: Column) -> Column:

@@ -13,8 +13,9 @@ from assayer.functions.fixed_values import (
     SENTIMENT_THRESHOLDS,
 )
 from assayer.functions.rules import is_correct, lexicon_rule, steps_passed
-from assayer.operators.lookup import BROADCAST_BYTES, join_terms
+from assayer.operators.lookup import BROADCAST_BYTES, fits_broadcast, join_terms
 from assayer.operators.sweep import grid_counts
+from assayer.operators.tokens import term_totals
 from assayer.session import settle
 
 KINDS = ("positive", "negative", "indicator")
@@ -84,10 +85,14 @@ def joined_features(
     marks = lexicon.groupBy("term").agg(
         *[F.max(F.when(F.col("kind") == kind, 1).otherwise(0)).alias(kind) for kind in KINDS]
     )
-    used = spread.groupBy("term").agg(F.count("*").alias("n"))
-    table = settle(marks.join(used, "term"), "lexicon")
+    table = settle(marks, "lexicon")
+    if fits_broadcast(table, "term", limit):
+        found = spread.join(F.broadcast(table), "term", "left")
+    else:
+        used = settle(table.join(term_totals(df, tokens), "term"), "lexicon-used")
+        found = join_terms(spread, used, "term", "n", key, "left", limit)
     return (
-        join_terms(spread, table, "term", "n", key, "left", limit)
+        found
         .groupBy(key, *carry)
         .agg(
             F.count("term").alias("n_tokens"),

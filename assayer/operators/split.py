@@ -86,11 +86,12 @@ def stratified_cuts(
         .withColumn("reached", F.col("before") + F.sum("same").over(in_bucket))
         .where(F.col("reached") <= F.col("target"))
         .groupBy(label, "cut")
-        .agg(F.max(F.struct("h", key)).alias("last"))
+        .agg(F.max(F.struct("h", F.col(key).alias("key"))).alias("last"))
     )
     # Without a fitting row, everything before the bucket belongs below the cut.
     last = F.coalesce(
-        F.col("last"), F.struct(F.col("bucket").alias("h"), F.lit(None).cast(df.schema[key].dataType).alias(key))
+        F.col("last"),
+        F.struct(F.col("bucket").alias("h"), F.lit(None).cast(df.schema[key].dataType).alias("key")),
     )
     per_cut = holding.join(inside, [label, "cut"], "left").select(label, "cut", last.alias("last"))
     return settle(
@@ -116,10 +117,15 @@ def stratified_split(
     joined to one row per class and never shuffled.
     """
     cuts = stratified_cuts(df, key, label, percents, seed)
-    here = F.struct(shuffle_key(key, seed).alias("h"), F.col(key))
+    # A projection of its own, so that a row's digest is computed once for all cuts.
+    here = F.struct(shuffle_key(key, seed).alias("h"), F.col(key).alias("key"))
     side = None
     for i, (name, _) in enumerate(percents[:-1]):
-        below = here <= F.col(f"cut{i}")
+        below = F.col("here") <= F.col(f"cut{i}")
         side = F.when(below, name) if side is None else side.when(below, name)
-    placed = df.join(cuts, label, "left").withColumn("split", side.otherwise(percents[-1][0]))
+    placed = (
+        df.withColumn("here", here)
+        .join(cuts, label, "left")
+        .withColumn("split", side.otherwise(percents[-1][0]))
+    )
     return placed.select(*df.columns, "split")

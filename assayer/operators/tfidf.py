@@ -1,4 +1,9 @@
-"""TF-IDF on long tables of (document, term, weight)."""
+"""TF-IDF on long tables of (document, term, weight).
+
+Arrays are unrolled with ``explode_outer`` and nulls dropped afterwards: for a plain
+``explode`` the optimizer adds a test of the array's size below the shuffle, and with
+it a second evaluation of the expression that builds the array.
+"""
 
 from __future__ import annotations
 
@@ -25,7 +30,8 @@ def fit_vocabulary(
     """
     documents = train.agg(F.count("*").alias("documents")).scalar()
     counted = (
-        train.select(F.explode(F.array_distinct(terms)).alias("term"))
+        train.select(F.explode_outer(F.array_distinct(terms)).alias("term"))
+        .where(F.col("term").isNotNull())
         .groupBy("term")
         .agg(F.count("*").alias("df"))
     )
@@ -48,13 +54,14 @@ def tfidf(
         known = (
             df.select(key, terms)
             .repartition(key)
-            .select(key, F.explode(terms).alias("term"))
+            .select(key, F.explode_outer(terms).alias("term"))
             .join(F.broadcast(vocabulary.select("term", "idf")), "term")
         )
         counted = known.groupBy(key, "term").agg(F.count("*").alias("tf"), F.first("idf").alias("idf"))
     else:
         pairs = (
-            df.select(key, F.explode(terms).alias("term"))
+            df.select(key, F.explode_outer(terms).alias("term"))
+            .where(F.col("term").isNotNull())
             .groupBy(key, "term")
             .agg(F.count("*").alias("tf"))
         )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assayer.functions.text import words
-from assayer.operators.lookup import BROADCAST_BYTES, join_terms
+from assayer.operators.lookup import BROADCAST_BYTES, fits_broadcast, join_terms
 from assayer.session import settle
 
 
@@ -19,7 +21,8 @@ def with_tokens(df: DataFrame, text: str, stop_words: Sequence[str], out: str =
 
 def term_totals(df: DataFrame, tokens: str) -> DataFrame:
     """Every distinct term with its number of occurrences."""
-    return df.select(F.explode(tokens).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    terms = df.select(F.explode_outer(tokens).alias("term")).where(F.col("term").isNotNull())
+    return terms.groupBy("term").agg(F.count("*").alias("n"))
 
 
 def replace_terms(
@@ -33,9 +36,12 @@ def replace_terms(
     """Replace each token by its root in ``dictionary(term, root, n)``, order kept.
 
     Terms without an entry stay as they are. ``n`` is how often the tokens hold the
-    term. ``carry`` names short columns that go along; ``key`` must be unique. Token
-    rows regroup by key, a document at a time.
+    term, ``key`` must be unique and ``carry`` names short columns that go along. A
+    dictionary measured to fit goes to the tasks and rows stay where they are; with a
+    larger one, token rows are joined to it and regrouped a document at a time.
     """
+    if fits_broadcast(dictionary, "term", limit):
+        return swap_in_place(df.select(key, *carry, tokens), tokens, dictionary)
     spread = df.select(key, *carry, F.posexplode_outer(tokens).alias("pos", "term"))
     root = F.coalesce(F.col("root"), F.col("term"))
     # A null position marks a document without tokens: its one row must come back empty.
@@ -48,11 +54,41 @@ def replace_terms(
     )
 
 
-def dictionary_for(df: DataFrame, tokens: str, roots: DataFrame) -> DataFrame:
-    """Cut a supplied ``(term, root)`` table down to the terms in use, and count them.
+def swap_in_place(df: DataFrame, tokens: str, dictionary: DataFrame) -> DataFrame:
+    """Swap tokens inside Arrow batches; the dictionary is asked once per distinct term."""
+    shared = df.sparkSession.sparkContext.broadcast(
+        dict(dictionary.select("term", "root").toPandas().itertuples(index=False, name=None))
+    )
+    at = df.columns.index(tokens)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roots = shared.value
+        for batch in batches:
+            lists = batch.column(at)
+            encoded = lists.flatten().dictionary_encode()
+            terms = encoded.dictionary
+            swapped = pa.array([roots.get(t, t) for t in terms.to_pylist()], terms.type)
+            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            offsets = pa.array(np.concatenate(([0], ends)), pa.int32())
+            column = pa.ListArray.from_arrays(
+                offsets, swapped.take(encoded.indices), type=lists.type, mask=lists.is_null()
+            )
+            yield batch.set_column(at, batch.schema.field(at), column)
+
+    return df.mapInArrow(run, df.schema)
+
+
+def dictionary_for(
+    df: DataFrame, tokens: str, roots: DataFrame, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``(term, root, n)`` from a supplied ``(term, root)`` table, for :func:`replace_terms`.
 
-    A term that is its own root is left out: the lookup falls back to the term.
+    A term that is its own root is left out: the lookup falls back to the term. Only a
+    table too large to broadcast is cut down to the terms in use and given their counts.
     """
-    known = roots.where(F.col("term") != F.col("root")).dropDuplicates(["term"])
+    known = roots.where(F.col("term") != F.col("root")).groupBy("term").agg(F.min("root").alias("root"))
+    table = settle(known.withColumn("n", F.lit(1).cast("bigint")), "dictionary")
+    if fits_broadcast(table, "term", limit):
+        return table
     used = term_totals(df, tokens)
-    return settle(used.join(known, "term").select("term", "root", "n"), "dictionary")
+    return settle(used.join(table.drop("n"), "term").select("term", "root", "n"), "dictionary-used")

@@ -66,9 +66,14 @@ def sql_roots(pattern: str) -> str:
                    lambda t: regexp_replace(t, '{pattern}', '')) AS tokens FROM tokens)"""
 
 
+def stored_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens written once, for queries that read them several times."""
+    return settle(headline_tokens(spark, folder), "tokens")
+
+
 def rooted(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    rows = headline_tokens(spark, folder)
-    dictionary = dictionary_for(rows, "tokens", standins.roots(spark, folder, pattern))
+    rows = stored_tokens(spark, folder)
+    dictionary = dictionary_for(rows, "tokens", standins.roots(rows, pattern))
     return replace_terms(rows, "id", "tokens", dictionary, carry=["label"])
 
 
@@ -204,9 +209,8 @@ FEATURES_SQL = """
 
 
 def features(spark: SparkSession, folder: str) -> DataFrame:
-    return lex.lexicon_features(
-        headline_tokens(spark, folder), "id", "tokens", standins.lexicon(spark, folder), carry=["label"]
-    )
+    rows = stored_tokens(spark, folder)
+    return lex.lexicon_features(rows, "id", "tokens", standins.lexicon(rows), carry=["label"])
 
 
 @query(
@@ -225,9 +229,9 @@ def lexicon_features(spark: SparkSession, folder: str) -> DataFrame:
 )
 def lexicon_features_joined(spark: SparkSession, folder: str) -> DataFrame:
     """The form for lexicons too large to put into an expression."""
-    terms = standins.lexicon(spark, folder)
-    rows = headline_tokens(spark, folder)
-    return rounded(lex.with_score(lex.joined_features(rows, "id", "tokens", terms, ["label"])), "score")
+    rows = stored_tokens(spark, folder)
+    counted = lex.joined_features(rows, "id", "tokens", standins.lexicon(rows), ["label"])
+    return rounded(lex.with_score(counted), "score")
 
 
 @query(
@@ -249,7 +253,7 @@ def indicator_counts(spark: SparkSession, folder: str) -> DataFrame:
     sql_with(TOKENS + " lexicon") + " SELECT kind, count(DISTINCT term) AS terms FROM lexicon GROUP BY kind",
 )
 def lexicon_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    return lex.lexicon_sizes(standins.lexicon(spark, folder))
+    return lex.lexicon_sizes(standins.lexicon(headline_tokens(spark, folder)))
 
 
 @query(

@@ -52,25 +52,28 @@ def headlines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def headline_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """``(id, label, tokens)`` of the labelled documents."""
     return headlines(spark, folder).select("id", "label", words(F.col("text"), STOP_WORDS).alias("tokens"))
 
 
-def lexicon(spark: SparkSession, folder: str) -> DataFrame:
-    """Terms of the documents sorted into kinds by their md5; stands in for word lists."""
+def distinct_terms(tokens: DataFrame) -> DataFrame:
+    return tokens.select(F.explode_outer("tokens").alias("term")).where(F.col("term").isNotNull()).distinct()
+
+
+def lexicon(tokens: DataFrame) -> DataFrame:
+    """Terms in use sorted into kinds by their md5; stands in for word lists."""
     digit = F.substring(F.md5("term"), 1, 1)
     kind = (
         F.when(digit.isin("0", "1"), "positive")
         .when(digit.isin("2", "3"), "negative")
         .when(digit == "4", "indicator")
     )
-    terms = headline_tokens(spark, folder).select(F.explode("tokens").alias("term")).distinct()
-    return settle(terms.withColumn("kind", kind).where(F.col("kind").isNotNull()), "lexicon")
+    return settle(distinct_terms(tokens).withColumn("kind", kind).where(F.col("kind").isNotNull()), "lexicon")
 
 
-def roots(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+def roots(tokens: DataFrame, pattern: str) -> DataFrame:
     """``(term, root)`` by cutting an ending; stands in for stem and lemma tables."""
-    terms = headline_tokens(spark, folder).select(F.explode("tokens").alias("term")).distinct()
-    return terms.withColumn("root", F.regexp_replace("term", pattern, ""))
+    return distinct_terms(tokens).withColumn("root", F.regexp_replace("term", pattern, ""))
 
 
 STEM_PATTERN = "(ing|ed|s)$"

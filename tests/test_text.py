@@ -67,6 +67,8 @@ def lexicon(spark):
 @pytest.mark.parametrize("inline_terms", [100, 0])
 def test_lexicon_features_count_repeats(docs, lexicon, inline_terms):
     out = lex.lexicon_features(docs, "id", "tokens", lexicon, inline_terms=inline_terms)
+    split = lex.with_score(lex.joined_features(docs, "id", "tokens", lexicon, limit=0))
+    assert sorted(out.collect()) == sorted(split.collect())
     got = {r["id"]: (r["n_tokens"], r["positive"], r["negative"], r["indicator"], r["score"])
            for r in out.collect()}
     assert got == {1: (3, 2, 0, 0, 2 / 3), 2: (0, 0, 0, 0, 0.0), 3: (3, 0, 3, 2, -1.0), 4: (2, 0, 0, 0, 0.0)}
@@ -79,12 +81,29 @@ def test_indicator_list():
 @pytest.mark.parametrize("limit", [1 << 20, 0])
 def test_replaced_terms_keep_order_and_empty_documents(spark, docs, limit):
     roots = spark.createDataFrame([("dogs", "dog"), ("ran", "run"), ("good", "good")], "term string, root string")
-    dictionary = dictionary_for(docs, "tokens", roots)
+    dictionary = dictionary_for(docs, "tokens", roots, limit)
     out = replace_terms(docs, "id", "tokens", dictionary, limit=limit)
     got = {r["id"]: r["tokens"] for r in out.collect()}
     assert got == {1: ["good", "good", "dog"], 2: [], 3: ["bad", "man", "man"], 4: ["run", "dog"]}
 
 
+def test_replacing_keeps_null_arrays_and_every_batch(spark):
+    df = spark.range(300).select(
+        "id",
+        F.when(F.col("id") % 7 == 0, None)
+        .when(F.col("id") % 5 == 0, F.array().cast("array<string>"))
+        .otherwise(F.array(F.concat(F.lit("w"), F.col("id") % 9), F.lit("dogs"))).alias("tokens"),
+    )
+    dictionary = spark.createDataFrame([("dogs", "dog", 300), ("w3", "", 30)], "term string, root string, n bigint")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        got = {r["id"]: r["tokens"] for r in replace_terms(df, "id", "tokens", dictionary).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 300 and got[7] is None and got[5] == []
+    assert got[3] == ["", "dog"] and got[4] == ["w4", "dog"]
+
+
 def test_stem_and_noun_dictionaries(spark, docs):
     stems = {r["term"]: r["root"] for r in stem_dictionary(docs, "tokens").collect()}
     assert stems["dogs"] == "dog" and stems["good"] == "good"
