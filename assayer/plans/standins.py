@@ -175,7 +175,7 @@ SQL = {
           WHERE d IN ('0', '1', '2', '3', '4'))""",
     "pixels": f"""
         pixels AS (
-          SELECT vec_id AS image_id, label, pos % 8 AS x, pos // 8 AS y,
+          SELECT vec_id AS image_id, label, cast(pos % 8 AS int) AS x, cast(pos // 8 AS int) AS y,
                  {_channel(0)} AS r, {_channel(21)} AS g, {_channel(42)} AS b
           FROM embeddings, (SELECT unnest(range(64)) AS pos))""",
     "leaves": """
