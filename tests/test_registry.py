@@ -8,7 +8,11 @@ import pytest
 import __spark_entry__ as registry
 from tools.check_oracle import TABLES, rows_of
 
-SLOW = {"forest_cv", "gbt_cv", "tree_cv", "logreg_cv", "stream_retrain_metrics"}
+# Training queries whose operators other tests cover on small inputs.
+SLOW = {
+    "forest_cv", "gbt_cv", "tree_cv", "logreg_cv", "stream_retrain_metrics", "mlp_sweep",
+    "perceptron_test_report", "side_by_side",
+}
 
 
 @pytest.fixture(scope="session")
