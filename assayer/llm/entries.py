@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from assayer.llm.exact_dedup import exact_groups
+from assayer.llm.packing import pack, token_pieces
+
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,8 +20,14 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
 
 
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = token_pieces(table(spark, folder, "documents"), public_tokenizers.path(WORD_VOCABULARY))
+    return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
 
 SQL = {
