@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from assayer.llm.exact_dedup import exact_groups
 from assayer.llm.packing import pack, token_pieces
+from assayer.llm.personal_data import BASE_KINDS, KINDS, find_spans, learn
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 
@@ -20,6 +21,29 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
 
 
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    rank = F.create_map(*[F.lit(x) for i, kind in enumerate(KINDS) for x in (kind, i)])
+
+    def listed(spans):
+        keyed = F.transform(
+            spans, lambda s: F.struct(s["start"].alias("start"), rank[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))
+        )
+        written = F.transform(F.array_sort(keyed), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(written, ",")
+
+    added = F.transform("added", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    counts = [
+        F.expr(f"cast(size(filter(base, s -> s.kind = '{kind}')) AS bigint) AS n_{kind}") for kind in BASE_KINDS
+    ]
+    return find_spans(documents, learn(documents)).select(
+        "doc_id",
+        *counts,
+        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(F.concat("base", added)).alias("spans"),
+    )
+
+
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = token_pieces(table(spark, folder, "documents"), public_tokenizers.path(WORD_VOCABULARY))
     return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
@@ -27,6 +51,7 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_personal_data": op4_personal_data,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
