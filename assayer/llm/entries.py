@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assayer.llm import language_id
 from assayer.llm.exact_dedup import exact_groups
 from assayer.llm.packing import pack, token_pieces
 from assayer.llm.personal_data import BASE_KINDS, KINDS, find_spans, learn
@@ -17,6 +18,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    samples = language_id.learn(documents.where(language_id.remainder("doc_id", 4) != 2))
+    held_out = language_id.remainder("doc_id", 4) == 2
+    return language_id.identify(documents, samples).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits"
+    )
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
 
@@ -50,6 +60,7 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_personal_data": op4_personal_data,
     "op9_best_fit_packing": op9_best_fit_packing,
