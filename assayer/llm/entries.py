@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from assayer.llm import language_id
 from assayer.llm.exact_dedup import exact_groups
+from assayer.llm.ngram_join import near_groups
 from assayer.llm.packing import pack, token_pieces
 from assayer.llm.personal_data import BASE_KINDS, KINDS, find_spans, learn
 
@@ -54,6 +55,10 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_groups(table(spark, folder, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = token_pieces(table(spark, folder, "documents"), public_tokenizers.path(WORD_VOCABULARY))
     return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
@@ -63,6 +68,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_personal_data": op4_personal_data,
+    "op8_ngram_join": op8_ngram_join,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
