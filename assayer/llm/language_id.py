@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TRAINING_BYTES = 160 * 1024
 SAMPLE_CHARS = 512
@@ -174,25 +175,28 @@ def learn(
 
 
 def identify(
-    documents: DataFrame, samples: dict[str, bytes], id_column: str = "doc_id", text_column: str = "text"
+    documents: DataFrame, samples: dict[str, bytes], keep: tuple[str, ...] = ("doc_id",), text_column: str = "text"
 ) -> DataFrame:
-    """``doc_id, lang_pred, score, bits`` per row; nothing but the text decides.
+    """The columns ``keep`` and ``lang_pred, score, bits`` per row; nothing but the text decides.
 
     ``lang_pred`` is ``und`` with score 0 where the text is null or has no letter, or where nothing was
     learnt. ``score`` is the winner's share of inverse fourth powers of the entropies; ``bits`` is
-    its entropy per byte. Rows are neither joined nor shuffled; other columns are ignored.
+    its entropy per byte. Rows are neither joined nor shuffled. Columns named like a result must
+    not be in ``keep``; other columns are ignored.
     """
-    source = documents.select(
-        F.col(id_column).alias("doc_id"),
-        F.when(F.rlike(text_column, F.lit(r"\p{L}")), F.col(text_column)).alias("text"),
-    )
+    kept = [F.col(name) for name in keep]
+    readable = F.when(F.rlike(text_column, F.lit(r"\p{L}")), F.col(text_column)).alias("readable text")
+    source = documents.select(*kept, readable)
+    found = [T.StructField("lang_pred", T.StringType())]
+    found += [T.StructField(name, T.DoubleType()) for name in ("score", "bits")]
+    schema = T.StructType([*source.drop("readable text").schema, *found])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = parser_of(samples)
         names = pa.array([*parser.languages, UNDETERMINED])
         for batch in batches:
             for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
-                texts = [normalise(t) if t else b"" for t in part.column(1).to_pylist()]
+                texts = [normalise(t) if t else b"" for t in part.column(len(keep)).to_pylist()]
                 known = np.array([bool(t) for t in texts]) & bool(parser.languages)
                 best, score = np.full(len(texts), len(parser.languages)), np.zeros(len(texts))
                 bits = np.zeros(len(texts))
@@ -202,13 +206,10 @@ def identify(
                     weight = (rates.min(axis=1, keepdims=True) / rates) ** 4
                     best[known], score[known] = own, weight.max(axis=1) / weight.sum(axis=1)
                     bits[known] = rates.min(axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), names.take(pa.array(best)), pa.array(score), pa.array(bits)],
-                    ["doc_id", "lang_pred", "score", "bits"],
-                )
+                results = [names.take(pa.array(best)), pa.array(score), pa.array(bits)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *results], schema.names)
 
-    kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, bits double")
+    return source.mapInArrow(run, schema)
 
 
 def remainder(column: str, divisor: int) -> Column:
