@@ -11,6 +11,7 @@ from assayer.llm.exact_dedup import exact_groups
 from assayer.llm.ngram_join import near_groups
 from assayer.llm.packing import pack, token_pieces
 from assayer.llm.personal_data import BASE_KINDS, KINDS, find_spans, learn
+from assayer.llm.prefix_forest import nearest
 from assayer.llm.substring_dedup import remove_repeats
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -56,6 +57,10 @@ def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_prefix_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = remove_repeats(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -74,6 +79,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_personal_data": op4_personal_data,
+    "op5_prefix_forest": op5_prefix_forest,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_ngram_join": op8_ngram_join,
     "op9_best_fit_packing": op9_best_fit_packing,
