@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from assayer.llm import language_id
 from assayer.llm.exact_dedup import exact_groups
+from assayer.llm.html_extraction import extract
 from assayer.llm.ngram_join import near_groups
 from assayer.llm.packing import pack, token_pieces
 from assayer.llm.personal_data import BASE_KINDS, KINDS, find_spans, learn
@@ -75,6 +76,10 @@ def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_exact_dedup": op3_exact_dedup,
@@ -83,6 +88,7 @@ QUERIES = {
     "op7_substring_dedup": op7_substring_dedup,
     "op8_ngram_join": op8_ngram_join,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 SQL = {
