@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import language_id
+from assayer.llm import language_id, sentence_pieces
 from assayer.llm.exact_dedup import exact_groups
 from assayer.llm.html_extraction import extract
 from assayer.llm.ngram_join import near_groups
@@ -16,6 +16,7 @@ from assayer.llm.prefix_forest import nearest
 from assayer.llm.substring_dedup import remove_repeats
 
 WORD_VOCABULARY = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,6 +63,15 @@ def op5_prefix_forest(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(table(spark, folder, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+def op6_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every whole text, and the text that decoding them gives back."""
+    model = public_tokenizers.path(PIECE_MODEL)
+    encoded = sentence_pieces.encode(table(spark, folder, "documents"), model)
+    size = F.expr("cast(octet_length(ids) div 4 AS bigint)").alias("n_ids")
+    digests = sentence_pieces.decode(encoded.select("doc_id", size, F.crc32("ids").alias("ids_crc32"), "ids"), model)
+    return digests.select("doc_id", "n_ids", "ids_crc32", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = remove_repeats(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -85,6 +95,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_personal_data": op4_personal_data,
     "op5_prefix_forest": op5_prefix_forest,
+    "op6_sentence_pieces": op6_sentence_pieces,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_ngram_join": op8_ngram_join,
     "op9_best_fit_packing": op9_best_fit_packing,
