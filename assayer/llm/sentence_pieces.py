@@ -48,7 +48,8 @@ class Pieces:
         values = {i: bytes([b]) for b, i in self.bytes.items()}
         spoken = {i: n.replace(MARK, " ").encode() for n, i in self.ids.items()}
         other = {i: b"" for i in range(size) if model.is_control(i)} | {self.unknown: " ⁇ ".encode()}
-        self.spoken = [(values | spoken | other).get(i, b"") for i in range(size)]
+        readings = values | spoken | other
+        self.spoken = [readings.get(i, b"") for i in range(size)]
         self.fits: dict[tuple[str, str], bool] = {}
         self.words: dict[str, bytes] = {}
         self.limit = limit
