@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import language_id, sentence_pieces
+from assayer.llm import language_id, lm_scoring, sentence_pieces
 from assayer.llm.exact_dedup import exact_groups
 from assayer.llm.html_extraction import extract
 from assayer.llm.ngram_join import near_groups
@@ -32,6 +32,13 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    held_out = language_id.remainder("doc_id", 5) == 1
+    scored = lm_scoring.score(documents, ~held_out, public_tokenizers.path(WORD_VOCABULARY))
+    return scored.withColumn("held_out", held_out)
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"))
 
@@ -92,6 +99,7 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_personal_data": op4_personal_data,
     "op5_prefix_forest": op5_prefix_forest,
