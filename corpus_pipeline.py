@@ -22,13 +22,13 @@ BROADCAST_KEYS = 1_000_000  # keys of some 100 bytes
 VOCABULARY = "word_bpe_49k.json"
 
 
-def without(documents: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of ``documents`` whose key is not in ``keys``; few keys, counted, are broadcast."""
+def without(documents: DataFrame, keys: DataFrame, how: str = "left_anti") -> DataFrame:
+    """Rows of ``documents`` whose key is not in ``keys`` (or is); few keys, counted, are broadcast."""
     keys = settle(keys, "dropped")
     if keys.count() <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
     same = [documents[name].eqNullSafe(keys[name]) for name in keys.columns]
-    return documents.join(keys, same, "left_anti")
+    return documents.join(keys, same, how)
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ def without_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if repeated.isEmpty():
         return left.select(docs.columns)
     once = without(left, repeated)
-    again = left.join(repeated, ["doc_id", "text_sha256"], "left_semi").dropDuplicates(["doc_id", "text_sha256"])
+    again = without(left, repeated, "left_semi").dropDuplicates(["doc_id", "text_sha256"])
     return once.unionByName(again).select(docs.columns)
 
 
