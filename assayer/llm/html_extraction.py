@@ -1,16 +1,16 @@
 """Main text of web pages by templates deduced from equivalence classes.
 
-A token is an element with its path, or a whole text node at its path. Its occurrence vector says
+A token is an element with its path, or the whole text of a block at its path. Its occurrence vector says
 how often each page of a host has it. Tokens of one host with equal vectors form an equivalence
 class; a class that is large and frequent enough stems from the host's template. Vectors are not kept:
 a sum over pages of a hash of (page, count) is equal for equal vectors, and sums are aggregated before
 and after the shuffle, so a host of any size has no group of its pages anywhere.
 
-The elements of these classes, nested by their paths, are the template. A text node belongs to
+The elements of these classes, nested by their paths, are the template. A block belongs to
 the slot of the deepest template element around it. Slots are ranked by how much text outside links they
 hold over all pages of the host; parts that are asides by their names do not count. The best slot, widened to the
 ``article`` or ``main`` around it or else to the container of its paragraphs, is the article. From each page all blocks
-of the article are taken, without asides and without text nodes of the template (``Share this``).
+of the article are taken, without asides and without blocks of the template (``Share this``).
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from assayer.session import settle
 
 CLASS_TOKENS = 3  # a class of the template has at least so many tokens
 CLASS_SHARE = 0.5  # and is on at least this share of the host's pages
-REPEATED_PAGES = 5  # text nodes are template text only on hosts with so many pages
+REPEATED_PAGES = 5  # blocks are template text only on hosts with so many pages
 SLOTS = 5
 BROADCAST_BYTES = 64 * 1024 * 1024
 _HOST = re.compile(r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)")
@@ -46,26 +47,45 @@ def _number(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
 
 
-def page_tokens(page: str) -> tuple[Counter, dict[str, list[int]]]:
-    """Counts of the page's tokens; characters of text and of text in links by path, in no aside."""
-    counts: Counter = Counter()
-    sizes: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+def blocks_of(page: str) -> Iterator[tuple[str, str, int]]:
+    """``(path, text, linked)`` of each block outside asides, and ``(path, "", 0)`` for each element."""
     known: dict[tuple, tuple[str, bool]] = {}
-    for kind, path, text, linked in parts(page):
-        if kind == "break":
-            continue
+    pieces: list[str] = []
+    linked, current = 0, ""
+    for kind, path, text, in_link in chain(parts(page), [("break", (), "", False)]):
         if path not in known:
             known[path] = SEPARATOR.join(path), any(map(is_aside, path))
         name, aside = known[path]
-        if kind == "open":
-            counts["e" + name] += 1
+        if kind == "break":
+            if pieces:
+                body = " ".join("".join(pieces).split())
+                pieces.clear()
+                if body:
+                    yield current, body, min(linked, len(body))
+                linked = 0
+        elif kind == "open":
+            yield name, "", 0
+        elif not aside:
+            current = name
+            pieces.append(text)
+            linked += in_link and len(" ".join(text.split()))
+
+
+def repeat_mark(path: str, body: str) -> str:
+    return f"{_number(path + SEPARATOR + body):016x}"
+
+
+def page_tokens(page: str) -> tuple[Counter, dict[str, list[int]]]:
+    """Counts of the page's tokens; characters of text and of text in links by path, in no aside."""
+    counts: Counter = Counter()
+    sizes: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+    for path, body, linked in blocks_of(page):
+        if body:
+            counts["t" + repeat_mark(path, body)] += 1
+            sizes[path][0] += len(body)
+            sizes[path][1] += linked
         else:
-            body = " ".join(text.split())
-            if body and not aside:
-                counts[f"t{_number(name + SEPARATOR + body):016x}"] += 1
-                size = sizes[name]
-                size[0] += len(body)
-                size[1] += len(body) * linked
+            counts["e" + path] += 1
     return counts, sizes
 
 
@@ -110,7 +130,7 @@ def token_table(source: DataFrame) -> DataFrame:
 
 
 def templates(tokens: DataFrame) -> DataFrame:
-    """``host, articles, repeated``: paths of the best slots, best first, and the template's text nodes."""
+    """``host, articles, repeated``: paths of the best slots, best first, and the template's own blocks."""
     pages = tokens.where("token = 'p'").select("host", F.col("pages").alias("of"))
     held = tokens.where("token <> 'p'").join(pages, "host")
     marked = held.where(F.col("token").rlike("^[et]") & (F.col("pages") >= CLASS_SHARE * F.col("of")))
@@ -169,45 +189,18 @@ def widened(slot, path):
 
 def article_text(page: str, articles: list[str], repeated: set[str]) -> str:
     """Blocks of the first slot in ``articles`` that has text on this page, joined by line breaks."""
-    wanted = articles or []
-    blocks: dict[str, list[str]] = {a: [] for a in wanted}
-    open_: list[str] = []
+    blocks = [(path, body, linked) for path, body, linked in blocks_of(page) if body]
+    if repeated:
+        blocks = [b for b in blocks if repeat_mark(b[0], b[1]) not in repeated]
     weights: Counter = Counter()
-    loose: list[tuple[str, str]] = []
-    current, known = "", {}
-
-    def flush() -> None:
-        body = " ".join("".join(open_).split())
-        open_.clear()
-        if body:
-            loose.append((current, body))
-
-    for kind, path, text, linked in parts(page):
-        if kind == "text":
-            if path not in known:
-                known[path] = SEPARATOR.join(path), any(map(is_aside, path))
-            name, aside = known[path]
-            body = " ".join(text.split())
-            if aside or body and repeated and f"{_number(name + SEPARATOR + body):016x}" in repeated:
-                continue
-            current = name
-            open_.append(text)
-            if not linked:
-                weights[widen(name)] += len(body)
-        elif kind == "break":
-            flush()
-    flush()
-    for name, body in loose:
-        for article in wanted:
-            if name == article or name.startswith(article + SEPARATOR) or not article:
-                blocks[article].append(body)
-    for article in wanted:
-        if blocks[article]:
-            return "\n".join(blocks[article])
-    if not loose:
-        return ""
-    best = max(weights, key=lambda w: (weights[w], w), default="")
-    return "\n".join(b for name, b in loose if name == best or name.startswith(best + SEPARATOR) or not best)
+    for path, body, linked in blocks:
+        weights[widen(path)] += len(body) - linked
+    own = max(weights, key=lambda w: (weights[w], w), default="")
+    for article in [*articles, own]:
+        inside = [b for path, b, _ in blocks if not article or path == article or path.startswith(article + SEPARATOR)]
+        if inside:
+            return "\n".join(inside)
+    return ""
 
 
 def extract(
