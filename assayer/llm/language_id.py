@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 TRAINING_BYTES = 160 * 1024
 SAMPLE_CHARS = 512
 BLOCK_BYTES = 1024
-LANES = 8192
+LANES = 2048
 UNDETERMINED = "und"
 
 
@@ -87,9 +87,9 @@ class Parser:
             target = np.array([t for m in moves for t in m.values()], np.int64) + base
             begin = np.full(width, lost)
             begin[self.column[byte[state == 0]]] = target[state == 0]
-            part = np.tile(2 * width * begin + 1, (len(moves) + 1, 1))
+            part = np.tile((2 * width * begin + 1).astype(np.int32), (len(moves) + 1, 1))
             part[state, self.column[byte]] = 2 * width * target
-            parts.append(part.astype(np.int32))
+            parts.append(part)
             fresh.append(lost * width)
             base = lost + 1
         self.table = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int32)
@@ -116,8 +116,8 @@ class Parser:
     def _parse(self, symbols: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Phrases of each block under each language; blocks come longest first."""
         steps = int(length[0]) if len(length) else 0
-        place = np.arange(steps)[:, None] + begin[None, :]
-        table = symbols.take(np.minimum(place, len(symbols) - 1))
+        place = np.arange(steps, dtype=np.int32)[:, None] + begin[None, :].astype(np.int32)
+        table = symbols.take(np.minimum(place, len(symbols) - 1, out=place))
         active = np.searchsorted(-length, -np.arange(steps), "left")
         state = np.repeat(self.fresh[:, None], len(begin), axis=1)
         counts = np.zeros(state.shape, np.int32)

@@ -24,7 +24,7 @@ def byte_letters() -> dict[int, str]:
 class WordIds(dict):
     """Maps a chunk (UTF-8, ASCII letters in lower case) to its ids as little-endian bytes."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 200_000):
         from tokenizers import Tokenizer
 
         super().__init__()
