@@ -102,12 +102,11 @@ def pixel_rows(resized: DataFrame, carry: Sequence[str], side: int = IMAGE_SIDE)
     """Pixel rows ``(x, y, r, g, b)`` of resized images; for inspection, not for scale."""
 
     def channel(offset: int):
-        digits = F.substring(F.hex("rgb"), F.col("pos") * 6 + 2 * offset + 1, F.lit(2))
-        return F.conv(digits, 16, 10).cast("int")
+        return F.conv(F.substring("pixel", 2 * offset + 1, 2), 16, 10).cast("int")
 
-    return resized.select(
-        *carry, "rgb", F.explode(F.sequence(F.lit(0), F.lit(side * side - 1))).alias("pos")
-    ).select(
+    # The bytes are written out once per image and cut into pixels, so the work is linear.
+    pixels = F.regexp_extract_all(F.hex("rgb"), F.lit("[0-9A-F]{6}"), F.lit(0))
+    return resized.select(*carry, F.posexplode(pixels).alias("pos", "pixel")).select(
         *carry,
         (F.col("pos") % side).alias("x"),
         F.expr(f"int(pos div {side})").alias("y"),

@@ -50,21 +50,24 @@ def lexicon_features(
 
     ``lexicon(term, kind)`` may list a term under several kinds. Up to
     ``inline_terms`` entries become hash sets inside the expression, so rows are
-    neither joined nor shuffled; a larger lexicon is joined to the token rows.
+    neither joined nor shuffled; a larger lexicon is joined to the token rows. Both give the same:
+    a null array counts as empty, null tokens do not count, rows that share a key stay apart.
     """
     entries = lexicon.where(F.col("kind").isin(*KINDS)).distinct().limit(inline_terms + 1).collect()
     if len(entries) <= inline_terms:
         listed = {kind: [e["term"] for e in entries if e["kind"] == kind] for kind in KINDS}
 
+        held = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
+
         def hits(kind: str):
             if not listed[kind]:
                 return F.lit(0)
-            return F.size(F.filter(tokens, lambda t: t.isin(listed[kind])))
+            return F.size(F.filter(held, lambda t: t.isin(listed[kind])))
 
         counted = df.select(
             key,
             *carry,
-            F.size(tokens).cast("bigint").alias("n_tokens"),
+            F.size(F.filter(held, lambda t: t.isNotNull())).cast("bigint").alias("n_tokens"),
             *[hits(kind).cast("bigint").alias(kind) for kind in KINDS],
         )
     else:
@@ -81,7 +84,8 @@ def joined_features(
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The counts by joining token rows with the lexicon, one row per term."""
-    spread = df.select(key, *carry, F.explode_outer(tokens).alias("term"))
+    numbered = df.withColumn("row number", F.monotonically_increasing_id())
+    spread = numbered.select("row number", key, *carry, F.explode_outer(tokens).alias("term"))
     marks = lexicon.groupBy("term").agg(
         *[F.max(F.when(F.col("kind") == kind, 1).otherwise(0)).alias(kind) for kind in KINDS]
     )
@@ -93,11 +97,12 @@ def joined_features(
         found = join_terms(spread, used, "term", "n", key, "left", limit)
     return (
         found
-        .groupBy(key, *carry)
+        .groupBy("row number", key, *carry)
         .agg(
             F.count("term").alias("n_tokens"),
             *[F.coalesce(F.sum(kind), F.lit(0)).cast("bigint").alias(kind) for kind in KINDS],
         )
+        .drop("row number")
     )
 
 

@@ -27,7 +27,7 @@ from assayer.operators import metrics
 from assayer.operators.lookup import join_terms
 from assayer.session import settle
 
-MIXED_TERMS = 2_000_000  # 16 MB of weights per task
+SHARDS = 8
 PATIENCE = 5
 BIAS = "\u0001bias"  # no cleaned term holds this character
 MODEL = "term string, w double, n bigint"
@@ -150,16 +150,15 @@ def fit_mixed(
     label: str,
     epochs: Sequence[int] = PERCEPTRON_EPOCHS,
     tol: float | None = 1e-3,
-    shards: int | None = None,
+    shards: int = SHARDS,
     seed: int = SEED,
 ) -> dict[int, DataFrame]:
     """Models after each wanted number of epochs; one training run yields them all.
 
     Shards are cut by key hash, so the result depends on their number but on no other
-    partitioning. Without a number there are as many as shuffle partitions.
+    partitioning or setting of the cluster.
     """
     spark = weights.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     vocabulary = weights.groupBy("term").agg(F.count("*").alias("n")).orderBy("term").toPandas()
     vocabulary["i"] = np.arange(len(vocabulary), dtype=np.int32)
     indexed = settle(
@@ -218,15 +217,19 @@ def fit_perceptron(
     label: str,
     epochs: Sequence[int] = PERCEPTRON_EPOCHS,
     tol: float | None = 1e-3,
-    shards: int | None = None,
-    mixed_terms: int = MIXED_TERMS,
+    method: str = "mixed",
+    shards: int = SHARDS,
 ) -> dict[int, DataFrame]:
-    """``{epochs: model}``, by mixing while the vocabulary is small enough to send to tasks.
+    """``{epochs: model}`` by the ``method`` asked for: ``mixed`` or ``summed``.
 
+    The two learn differently, so the size of the data never chooses between them: ``mixed`` sends the
+    weights of the whole vocabulary to every task, ``summed`` takes any vocabulary.
     ``weights(key, term, weight)`` holds the documents of ``labels(key, label)``.
     """
+    if method not in ("mixed", "summed"):
+        raise ValueError(f"unknown method {method!r}")
     weights = settle(weights.select(key, "term", "weight"), "training-weights")
-    if weights.select("term").distinct().count() <= mixed_terms:
+    if method == "mixed":
         return fit_mixed(weights, labels, key, label, epochs, tol, shards)
     return fit_summed(weights, labels, key, label, epochs, tol)
 

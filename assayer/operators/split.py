@@ -114,7 +114,8 @@ def stratified_split(
     Within a class of ``n`` rows in shuffle order, the first ``n * p div 100`` rows go
     to the first split, and so on by cumulative percentage. Rows are placed by
     comparing their shuffle key with the class's cuts, so the table itself is
-    joined to one row per class and never shuffled.
+    joined to one row per class and never shuffled. A row without label is in no split: its
+    ``split`` is null.
     """
     cuts = stratified_cuts(df, key, label, percents, seed)
     # A projection of its own, so that a row's digest is computed once for all cuts.
@@ -126,6 +127,6 @@ def stratified_split(
     placed = (
         df.withColumn("here", here)
         .join(cuts, label, "left")
-        .withColumn("split", side.otherwise(percents[-1][0]))
+        .withColumn("split", F.when(F.col(label).isNotNull(), side.otherwise(percents[-1][0])))
     )
     return placed.select(*df.columns, "split")

@@ -36,21 +36,24 @@ def replace_terms(
     """Replace each token by its root in ``dictionary(term, root, n)``, order kept.
 
     Terms without an entry stay as they are. ``n`` is how often the tokens hold the
-    term, ``key`` must be unique and ``carry`` names short columns that go along. A
+    term and ``carry`` names short columns that go along. A null array stays null, and
+    rows that share a key stay apart. A
     dictionary measured to fit goes to the tasks and rows stay where they are; with a
     larger one, token rows are joined to it and regrouped a document at a time.
     """
     if fits_broadcast(dictionary, "term", limit):
         return swap_in_place(df.select(key, *carry, tokens), tokens, dictionary)
-    spread = df.select(key, *carry, F.posexplode_outer(tokens).alias("pos", "term"))
+    numbered = df.withColumn("row number", F.monotonically_increasing_id()).withColumn("no array", F.isnull(tokens))
+    own = ["row number", "no array", key, *carry]
+    spread = numbered.select(*own, F.posexplode_outer(tokens).alias("pos", "term"))
     root = F.coalesce(F.col("root"), F.col("term"))
     # A null position marks a document without tokens: its one row must come back empty.
     cell = F.when(F.col("pos").isNotNull(), F.struct("pos", root.alias("term")))
     return (
         join_terms(spread, dictionary, "term", "n", key, "left", limit)
-        .groupBy(key, *carry)
+        .groupBy(*own)
         .agg(F.array_sort(F.collect_list(cell)).alias("cells"))
-        .select(key, *carry, F.col("cells.term").alias(tokens))
+        .select(key, *carry, F.when(~F.col("no array"), F.col("cells.term")).alias(tokens))
     )
 
 

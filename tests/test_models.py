@@ -20,11 +20,11 @@ def separable(spark):
     return df, weights
 
 
-@pytest.mark.parametrize("mixed_terms", [1000, 0])
-def test_perceptron_separates(separable, mixed_terms):
+@pytest.mark.parametrize("method", ["mixed", "summed"])
+def test_perceptron_separates(separable, method):
     docs, weights = separable
     models = perceptron.fit_perceptron(
-        weights, docs, "id", "label", epochs=[15, 30], shards=3, mixed_terms=mixed_terms
+        weights, docs, "id", "label", epochs=[15, 30], method=method, shards=3
     )
     judged = perceptron.predict(docs, weights, "id", models[30])
     assert metrics.accuracy(metrics.confusion(judged, "label", "prediction")).first()["accuracy"] == 1.0

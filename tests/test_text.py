@@ -186,3 +186,14 @@ def test_best_point_takes_the_earliest_of_a_tie(spark):
     df = spark.createDataFrame([(0, 0.5), (1, 0.7), (2, 0.7 + 1e-15)], "grid_pos int, f1 double")
     assert sweep.best_point(df).first()["grid_pos"] == 1
     assert [r["grid_pos"] for r in sweep.top_points(df, k=2).collect()] == [1, 2]
+
+
+def test_forms_agree_on_null_arrays_and_repeated_keys(spark):
+    rows = [(1, ["good", "bad"]), (1, ["good"]), (2, None), (3, []), (4, [None, "good"])]
+    df = spark.createDataFrame(rows, "id int, tokens array<string>")
+    words = spark.createDataFrame([("good", "positive"), ("bad", "negative")], "term string, kind string")
+    forms = [lex.lexicon_features(df, "id", "tokens", words, inline_terms=n).collect() for n in (10, 0)]
+    assert sorted(forms[0], key=str) == sorted(forms[1], key=str) and len(forms[0]) == 5
+    roots = spark.createDataFrame([("bad", "worse", 1)], "term string, root string, n bigint")
+    swapped = [replace_terms(df, "id", "tokens", roots, limit=n).collect() for n in (1 << 20, 0)]
+    assert sorted(swapped[0], key=str) == sorted(swapped[1], key=str) and len(swapped[0]) == 5
