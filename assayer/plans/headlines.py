@@ -46,15 +46,16 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 TOKENS = "headlines tokens"
+ALL_TOKENS = "texts tokens"
 
 
 @query(
     "clean_tokens",
-    sql_with(TOKENS)
+    sql_with(ALL_TOKENS)
     + " SELECT id, array_to_string(tokens, ' ') AS cleaned, cast(len(tokens) AS int) AS n_tokens FROM tokens",
 )
 def clean_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return headline_tokens(spark, folder).select(
+    return headline_tokens(spark, folder, labelled=False).select(
         "id", F.array_join("tokens", " ").alias("cleaned"), F.size("tokens").alias("n_tokens")
     )
 
@@ -66,13 +67,13 @@ def sql_roots(pattern: str) -> str:
                    lambda t: regexp_replace(t, '{pattern}', '')) AS tokens FROM tokens)"""
 
 
-def stored_tokens(spark: SparkSession, folder: str) -> DataFrame:
+def stored_tokens(spark: SparkSession, folder: str, labelled: bool = True) -> DataFrame:
     """Tokens written once, for queries that read them several times."""
-    return settle(headline_tokens(spark, folder), "tokens")
+    return settle(headline_tokens(spark, folder, labelled), "tokens")
 
 
 def rooted(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    rows = stored_tokens(spark, folder)
+    rows = stored_tokens(spark, folder, labelled=False)
     dictionary = dictionary_for(rows, "tokens", standins.roots(rows, pattern))
     return replace_terms(rows, "id", "tokens", dictionary, carry=["label"])
 
@@ -83,7 +84,7 @@ def joined(df: DataFrame) -> DataFrame:
 
 @query(
     "stem_tokens",
-    sql_with(TOKENS, sql_roots(STEM_PATTERN)) + " SELECT id, label, array_to_string(tokens, ' ') AS tokens FROM rooted",
+    sql_with(ALL_TOKENS, sql_roots(STEM_PATTERN)) + " SELECT id, label, array_to_string(tokens, ' ') AS tokens FROM rooted",
 )
 def stem_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return joined(rooted(spark, folder, STEM_PATTERN))
@@ -91,7 +92,7 @@ def stem_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "lemma_tokens",
-    sql_with(TOKENS, sql_roots(LEMMA_PATTERN)) + " SELECT id, label, array_to_string(tokens, ' ') AS tokens FROM rooted",
+    sql_with(ALL_TOKENS, sql_roots(LEMMA_PATTERN)) + " SELECT id, label, array_to_string(tokens, ' ') AS tokens FROM rooted",
 )
 def lemma_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return joined(rooted(spark, folder, LEMMA_PATTERN))
@@ -100,19 +101,19 @@ def lemma_tokens(spark: SparkSession, folder: str) -> DataFrame:
 @query("porter_stems")
 def porter_stems(spark: SparkSession, folder: str) -> DataFrame:
     """Every term in use with its count and Porter stem."""
-    return stem_dictionary(headline_tokens(spark, folder), "tokens")
+    return stem_dictionary(headline_tokens(spark, folder, labelled=False), "tokens")
 
 
 @query(
     "bigrams",
-    sql_with(TOKENS)
+    sql_with(ALL_TOKENS)
     + """
     SELECT id, array_to_string(list_transform(range(1, len(tokens)),
              lambda i: tokens[i] || ' ' || tokens[i + 1]), '|') AS bigrams
     FROM tokens""",
 )
 def bigram_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return headline_tokens(spark, folder).select(
+    return headline_tokens(spark, folder, labelled=False).select(
         "id", F.array_join(bigrams(F.col("tokens")), "|").alias("bigrams")
     )
 
@@ -236,24 +237,24 @@ def lexicon_features_joined(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "indicator_counts",
-    sql_with(TOKENS)
+    sql_with(ALL_TOKENS)
     + f""" SELECT id, len(list_filter(tokens, lambda t: t IN ({", ".join(f"'{t}'" for t in INDICATOR_TERMS)})))
                   AS indicator FROM tokens""",
 )
 def indicator_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Hits of the built-in indicator terms."""
     counted = lex.lexicon_features(
-        headline_tokens(spark, folder), "id", "tokens", lex.indicator_lexicon(spark)
+        headline_tokens(spark, folder, labelled=False), "id", "tokens", lex.indicator_lexicon(spark)
     )
     return counted.select("id", "indicator")
 
 
 @query(
     "lexicon_sizes",
-    sql_with(TOKENS + " lexicon") + " SELECT kind, count(DISTINCT term) AS terms FROM lexicon GROUP BY kind",
+    sql_with(ALL_TOKENS + " lexicon") + " SELECT kind, count(DISTINCT term) AS terms FROM lexicon GROUP BY kind",
 )
 def lexicon_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    return lex.lexicon_sizes(standins.lexicon(headline_tokens(spark, folder)))
+    return lex.lexicon_sizes(standins.lexicon(headline_tokens(spark, folder, labelled=False)))
 
 
 @query(

@@ -65,6 +65,9 @@ def leaf_image_folder(spark: SparkSession, folder: str) -> str:
         .agg(F.array_sort(F.collect_list(cell)).alias("cells"))
         .select("image_id", "class", F.col("cells.rgb").alias("cells"))
     )
-    root = new_folder(spark, "leaf-images").removeprefix("file:")
+    # Without a scheme the path belongs to the default file system, which tasks must be told.
+    path = spark._jvm.org.apache.hadoop.fs.Path(new_folder(spark, "leaf-images"))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    root = files.makeQualified(path).toString().removeprefix("file:")
     write_images(images, root, 8)
     return root

@@ -40,20 +40,20 @@ def clinical(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def headlines(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled documents, whole texts."""
+def headlines(spark: SparkSession, folder: str, labelled: bool = True) -> DataFrame:
+    """Documents, whole texts: those with a label, or all with the label where there is one."""
     labels = table(spark, folder, "labels").select("doc_id", "quality")
     return (
         table(spark, folder, "documents")
         .select("doc_id", "text")
-        .join(labels, "doc_id")
+        .join(labels, "doc_id", "inner" if labelled else "left")
         .select(F.col("doc_id").alias("id"), "text", F.col("quality").alias("label"))
     )
 
 
-def headline_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    """``(id, label, tokens)`` of the labelled documents."""
-    return headlines(spark, folder).select("id", "label", words(F.col("text"), STOP_WORDS).alias("tokens"))
+def headline_tokens(spark: SparkSession, folder: str, labelled: bool = True) -> DataFrame:
+    """``(id, label, tokens)`` of the labelled documents, or of all."""
+    return headlines(spark, folder, labelled).select("id", "label", words(F.col("text"), STOP_WORDS).alias("tokens"))
 
 
 def distinct_terms(tokens: DataFrame) -> DataFrame:
@@ -164,6 +164,10 @@ SQL = {
         headlines AS (
           SELECT doc_id AS id, text, quality AS label
           FROM documents JOIN labels USING (doc_id))""",
+    "texts": """
+        headlines AS (
+          SELECT doc_id AS id, text, quality AS label
+          FROM documents LEFT JOIN labels USING (doc_id))""",
     "tokens": f"""
         tokens AS (SELECT id, label, {sql_words('text')} AS tokens FROM headlines)""",
     "lexicon": """
