@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from assayer.llm.counted_join import join_counted
 from assayer.llm.shingles import grams, mixed, word_numbers
 from assayer.session import settle
 
@@ -160,6 +161,27 @@ def intervals(starts: list[int]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
+def merge_spans(lists: DataFrame) -> DataFrame:
+    """Join touching and overlapping intervals in each document's ``list``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+        for batch in batches:
+            spans = batch.column("list")
+            begin, end = (spans.flatten().field(n).to_numpy() for n in ("a", "b"))
+            edges = np.r_[0, np.cumsum(spans.value_lengths().to_numpy())]
+            out = []
+            for lo, hi in zip(edges[:-1], edges[1:]):
+                order = np.argsort(begin[lo:hi], kind="stable")
+                a, b = begin[lo:hi][order], np.maximum.accumulate(end[lo:hi][order])
+                first = np.flatnonzero(np.r_[True, a[1:] > b[:-1]])
+                last = np.r_[first[1:] - 1, len(a) - 1]
+                out.append([{"a": x, "b": y} for x, y in zip(a[first].tolist(), b[last].tolist())])
+            yield batch.set_column(2, "list", pa.array(out, kind))
+
+    return lists.mapInArrow(run, lists.schema)
+
+
 def find_runs(source: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = word_numbers()
@@ -287,18 +309,21 @@ def match_windows(runs: DataFrame, length: int) -> DataFrame:
     kind = runs.schema["doc_id"].dataType.simpleString()
     rows = runs.mapInArrow(windows, f"window bigint, weight int, doc_id {kind}, mark bigint, a bigint")
     rows = settle(rows, "windows")
-    twice = settle(rows.groupBy("window").agg(F.sum("weight").alias("n")).where("n >= 2").select("window"), "twice")
-    return rows.where("weight = 1").join(twice, "window").select(*KEY, "a", (F.col("a") + 1).alias("b"))
+    single = F.sum(F.when(F.col("weight") == 1, 1).otherwise(0)).alias("times")
+    twice = settle(rows.groupBy("window").agg(F.sum("weight").alias("n"), single).where("n >= 2"), "twice")
+    found = join_counted(rows.where("weight = 1"), twice.select("window", "times"), ["window"], "times", rows.count())
+    return found.select(*KEY, "a", (F.col("a") + 1).alias("b"))
 
 
 def repeated_spans(source: DataFrame, length: int, shard_runs: int) -> DataFrame:
     """``doc_id, mark, a, b``: windows that start in ``[a, b)`` are repeated."""
     runs = settle(find_runs(source, length), "runs")
-    often = settle(runs.groupBy("anchor").count().where("count > 1").select("anchor"), "often")
-    runs = settle(runs.join(often, "anchor"), "runs")
+    often = settle(runs.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1"), "often")
+    runs = settle(join_counted(runs, often, ["anchor"], "times", runs.count()).drop("times"), "runs")
     first = F.min(F.struct(*KEY, "start", "windows")).alias("first")
     counts = settle(runs.groupBy("anchor", "run").agg(F.count("*").alias("times"), first), "counts")
-    whole = runs.join(counts.where("times > 1").select("anchor", "run"), ["anchor", "run"])
+    copied = counts.where("times > 1").select("anchor", "run", "times")
+    whole = join_counted(runs, copied, ["anchor", "run"], "times", runs.count())
     whole = whole.select(*KEY, F.col("start").cast("long").alias("a"), (F.col("start") + F.col("windows")).cast("long").alias("b"))
 
     single = F.sum(F.when(F.col("times") == 1, 1).otherwise(0)).alias("single")
@@ -334,7 +359,7 @@ def remove_repeats(
     text = F.coalesce(F.col(text_column), F.lit(""))
     source = documents.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
     spans = repeated_spans(source, length, shard_runs)
-    lists = spans.groupBy(*KEY).agg(F.collect_list(F.struct("a", "b")).alias("list"))
+    lists = merge_spans(spans.groupBy(*KEY).agg(F.collect_list(F.struct("a", "b")).alias("list")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
