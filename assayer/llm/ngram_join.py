@@ -8,9 +8,10 @@ n-grams as the smaller of their two ``l`` asks.
 
 Equal sets are one class throughout. Links are wanted only as far as they connect, so candidates
 that are connected already are never paired: first each class is compared with the leader it shares
-most prefix n-grams with; then the components found are contracted, and all remaining candidate
-pairs between different components are compared. No pair of a group that has become one component
-is ever formed, and none between components is left out.
+most prefix n-grams with, a set of few n-grams of its own; then the components found are contracted,
+and all remaining candidate pairs between different components are compared. No pair of a group that has
+become one component is ever formed, and none between components is left out. The places of
+the matches in the two orders bound the overlap, so most unequal pairs go before their texts are read.
 """
 
 from __future__ import annotations
@@ -31,9 +32,9 @@ from assayer.session import settle
 WIDTH = 4
 PERCENT = 85
 MOST_MATCHES = 8
-VERIFY_COST = 40.0  # a comparison of two sets against the reading of one posting
+VERIFY_COST = 1000.0  # bringing two sets together against the reading of one posting
 FREQUENT_LEAST = 32
-FREQUENT_MOST = 1 << 20  # bound on the frequent n-grams, which are broadcast
+FREQUENT_MOST = 1 << 22  # bound on the frequent n-grams, which are broadcast
 BROADCAST_IDS = 2_000_000
 SLICE = 2000
 
@@ -89,7 +90,7 @@ def frequent_grams(described: DataFrame) -> np.ndarray:
 
 
 def prefixes(source: DataFrame, width: int, percent: int, frequent) -> DataFrame:
-    """Prefix n-grams ``gram, signature, n, level``: of level ``l`` from the ``l``-prefix on.
+    """Prefix n-grams ``gram, signature, n, pos`` up to the longest prefix; ``pos`` is the place in the order.
 
     A task that meets a set again writes it once.
     """
@@ -107,45 +108,59 @@ def prefixes(source: DataFrame, width: int, percent: int, frequent) -> DataFrame
                 if not n or mark in seen:
                     continue
                 seen.add(mark)
-                need = -(-percent * n // 100)
-                most = min(n, n - need + MOST_MATCHES)
+                most = min(n, n - -(-percent * n // 100) + MOST_MATCHES)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
                     common = known[at] == grams
                     grams = np.concatenate([grams[~common], ranked[np.sort(order[at[common]])]])
-                level = np.maximum(1, np.arange(most) - (n - need) + 1)
-                out.append((grams[:most], np.full(most, mark), np.full(most, n), level))
+                out.append((grams[:most], np.full(most, mark), np.full(most, n), np.arange(most)))
             if out:
-                gram, mark, n, level = map(np.concatenate, zip(*out))
+                gram, mark, n, pos = map(np.concatenate, zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(gram), pa.array(mark), pa.array(n.astype(np.int32)), pa.array(level.astype(np.int8))],
-                    ["gram", "signature", "n", "level"],
+                    [_signed(gram), pa.array(mark), pa.array(n.astype(np.int32)), pa.array(pos.astype(np.int32))],
+                    ["gram", "signature", "n", "pos"],
                 )
 
-    return source.mapInArrow(run, "gram bigint, signature bigint, n int, level tinyint")
+    return source.mapInArrow(run, "gram bigint, signature bigint, n int, pos int")
 
 
-def postings(rows: DataFrame) -> DataFrame:
+def postings(rows: DataFrame, percent: int) -> DataFrame:
     """Prefix rows of n-grams that at least two sets hold, cut to each set's own number of matches ``l``.
 
-    ``l`` minimises ``postings * (1 + VERIFY_COST / l)``: a candidate that shares ``l`` n-grams uses up
-    ``l`` postings, so there are at most ``postings / l`` of them.
+    ``level`` is the least ``l`` whose prefix holds the n-gram. ``l`` minimises ``postings * (1 +
+    VERIFY_COST / l)``: a candidate that shares ``l`` n-grams uses up ``l`` postings, so there are at most
+    ``postings / l`` of them. ``l`` is at most the number of n-grams that similar sets must share. ``shared`` is
+    the part of the prefix that other sets hold too; the rest is in no overlap, which bounds the size of a
+    similar set by ``limit``. Sets that no size fits are left out. One shuffle by n-gram serves both the counts and the
+    rows; the counts read all columns so that it is the same shuffle.
     """
     rows = rows.repartition("gram")
     held = rows.groupBy("gram").agg(
-        F.min("signature").alias("low"), F.max("signature").alias("high"), F.count("*").alias("times")
+        F.min("signature").alias("low"),
+        F.max("signature").alias("high"),
+        F.count("*").alias("times"),
+        F.min("n").alias("least_n"),
+        F.min("pos").alias("least_pos"),
     )
-    shared = rows.join(held.where("low < high").select("gram", "times"), "gram")
-    shared = settle(shared.dropDuplicates(["gram", "signature"]), "shared")
+    held = held.where("low < high AND least_n > 0 AND least_pos >= 0")
+    shared = rows.join(held.select("gram", "times"), "gram").dropDuplicates(["gram", "signature"])
+    need = F.expr(f"int((n * {percent} + 99) div 100)")
+    shared = shared.withColumn("need", need).withColumn("level", F.expr("greatest(1, pos - n + need + 1)"))
+    shared = settle(shared, "shared")
     cost = [
         (F.sum(F.when(F.col("level") <= m, F.col("times") - 1).otherwise(0)) * (1 + VERIFY_COST / m)).alias(f"c{m}")
         for m in range(1, MOST_MATCHES + 1)
     ]
-    costs = shared.groupBy("signature").agg(*cost)
-    cheapest = F.least(*[f"c{m}" for m in range(1, MOST_MATCHES + 1)])
-    chosen = F.coalesce(*[F.when(F.col(f"c{m}") == cheapest, m) for m in range(1, MOST_MATCHES + 1)])
-    picked = shared.join(costs.select("signature", chosen.alias("matches")), "signature")
-    return settle(picked.where("level <= matches").drop("times"), "postings")
+    length = F.least("n", F.col("n") - F.col("need") + MOST_MATCHES)
+    costs = shared.groupBy("signature", "n", "need").agg(*cost, F.count("*").alias("held"))
+    costs = costs.withColumn("shared", F.col("held") / length)
+    common = (100 + percent) * (F.col("n") - length + F.col("held")) - percent * F.col("n")
+    costs = costs.withColumn("limit", F.floor(common / percent).cast("int")).where(F.col("limit") * 100 >= F.col("n") * percent)
+    allowed = [F.when(F.col("need") >= m, F.col(f"c{m}")) for m in range(1, MOST_MATCHES + 1)]
+    cheapest = F.least(*allowed)
+    chosen = F.coalesce(*[F.when(c == cheapest, m) for m, c in enumerate(allowed, 1)])
+    picked = shared.join(costs.select("signature", "shared", "limit", chosen.alias("matches")), "signature")
+    return settle(picked.where("level <= matches").drop("times", "need"), "postings")
 
 
 def compare(pairs: DataFrame, classes: DataFrame, source: DataFrame, width: int, percent: int) -> DataFrame:
@@ -182,32 +197,51 @@ def compare(pairs: DataFrame, classes: DataFrame, source: DataFrame, width: int,
     return settle(joined.mapInArrow(verify, "a bigint, b bigint"), "links")
 
 
-def leader_pairs(posts: DataFrame) -> DataFrame:
-    """Each set with the leader it shares most prefix n-grams with; a list's least signature leads it."""
-    leaders = posts.groupBy("gram").agg(F.min("signature").alias("leader"))
-    shared = posts.join(leaders, "gram").where("signature <> leader").groupBy("signature", "leader").count()
-    best = F.max_by("leader", F.struct("count", -F.col("leader"))).alias("a")
-    return shared.groupBy(F.col("signature").alias("b")).agg(best).select("a", "b")
+def candidates(matched: DataFrame, percent: int) -> DataFrame:
+    """``a, b, count`` of pairs with enough matches whose places allow the similarity.
+
+    ``matched`` has a row per common n-gram of two sets, as structs ``x`` and ``y``. What stands before the last match
+    without matching is in no common part, so it bounds the overlap of the two sets.
+    """
+    fewest = F.least("x.matches", "y.matches")
+    pairs = (
+        matched.where((F.col("x.n") * 100 >= F.col("y.n") * percent) & (F.col("y.n") * 100 >= F.col("x.n") * percent))
+        .where("x.n <= y.limit AND y.n <= x.limit")
+        .where(F.greatest("x.level", "y.level") <= fewest)
+        .groupBy(
+            F.col("x.signature").alias("a"), F.col("y.signature").alias("b"), F.col("x.n").alias("m"),
+            F.col("y.n").alias("n"), fewest.alias("fewest"),
+        )
+        .agg(F.count("*").alias("count"), F.max("x.pos").alias("i"), F.max("y.pos").alias("j"))
+    )
+    most = F.least(F.expr("m - i - 1 + count"), F.expr("n - j - 1 + count"))
+    return pairs.where(F.col("count") >= F.col("fewest")).where(most * (100 + percent) >= F.expr("m + n") * percent)
+
+
+SIDE = ["signature", "n", "pos", "level", "matches", "limit"]
+
+
+def leader_pairs(posts: DataFrame, percent: int) -> DataFrame:
+    """Each set with the leader it shares most prefix n-grams with.
+
+    The leader of an n-gram is the set with the largest ``shared`` part of those that hold it; in a group of near
+    copies that is one with few changes, which is similar to most of the others.
+    """
+    lead = F.max(F.struct("shared", *SIDE)).alias("y")
+    matched = posts.join(posts.groupBy("gram").agg(lead), "gram").select(F.struct(*SIDE).alias("x"), "y")
+    found = candidates(matched.where("x.signature <> y.signature"), percent)
+    return found.groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
 
 
 def pairs_between(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs whose sets are in different components, after the matches and size filters."""
+    """Candidate pairs whose sets are in different components."""
     marked = posts.join(labels.withColumnRenamed("node", "signature"), "signature", "left")
     marked = settle(marked.withColumn("label", F.coalesce("label", "signature")), "marked")
-    mixed_lists = marked.groupBy("gram").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
-    marked = settle(marked.join(mixed_lists.select("gram"), "gram"), "mixed")
-    x, y = marked.alias("x"), marked.alias("y")
-    fewest = F.least("x.matches", "y.matches")
-    return (
-        x.join(y, F.col("x.gram") == F.col("y.gram"))
-        .where("x.label <> y.label AND x.signature < y.signature")
-        .where((F.col("x.n") * 100 >= F.col("y.n") * percent) & (F.col("y.n") * 100 >= F.col("x.n") * percent))
-        .where(F.greatest("x.level", "y.level") <= fewest)
-        .groupBy(F.col("x.signature").alias("a"), F.col("y.signature").alias("b"), fewest.alias("need"))
-        .count()
-        .where("count >= need")
-        .select("a", "b")
-    )
+    mixed_lists = marked.groupBy("gram").agg(F.min("label").alias("p"), F.max("label").alias("q")).where("p < q")
+    marked = marked.join(mixed_lists.select("gram"), "gram").select("gram", F.struct(*SIDE, "label").alias("x"))
+    marked = settle(marked, "mixed")
+    matched = marked.join(marked.withColumnRenamed("x", "y"), "gram")
+    return candidates(matched.where("x.label <> y.label AND x.signature < y.signature"), percent).select("a", "b")
 
 
 def near_groups(
@@ -231,8 +265,8 @@ def near_groups(
     classes = rows.where("signature IS NOT NULL").groupBy("signature")
     classes = settle(classes.agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows")), "classes")
     frequent = source.sparkSession.sparkContext.broadcast(frequent_grams(described))
-    posts = postings(prefixes(source, width, percent, frequent))
-    links = compare(leader_pairs(posts), classes, source, width, percent)
+    posts = postings(prefixes(source, width, percent, frequent), percent)
+    links = compare(leader_pairs(posts, percent), classes, source, width, percent)
     more = compare(pairs_between(posts, connected(links), percent), classes, source, width, percent)
     labels = connected(links.unionByName(more)).withColumnRenamed("node", "signature")
     grouped = classes.join(labels, "signature", "left").withColumn("label", F.coalesce("label", "signature"))
