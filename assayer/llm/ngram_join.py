@@ -11,7 +11,7 @@ that are connected already are never paired: first each class is compared with t
 most prefix n-grams with, a set of few n-grams of its own; then the components found are contracted,
 and all remaining candidate pairs between different components are compared. No pair of a group that has
 become one component is ever formed, and none between components is left out. The places of
-the matches in the two orders bound the overlap, so most unequal pairs go before their texts are read.
+the matches in the two orders and the prefix n-grams that no other prefix holds bound the overlap, so most unequal pairs go before their texts are read.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayer.llm.components import connected
@@ -130,9 +130,9 @@ def postings(rows: DataFrame, percent: int) -> DataFrame:
     ``level`` is the least ``l`` whose prefix holds the n-gram. ``l`` minimises ``postings * (1 +
     VERIFY_COST / l)``: a candidate that shares ``l`` n-grams uses up ``l`` postings, so there are at most
     ``postings / l`` of them. ``l`` is at most the number of n-grams that similar sets must share. ``shared`` is
-    the part of the prefix that other sets hold too; the rest is in no overlap, which bounds the size of a
-    similar set by ``limit``. Sets that no size fits are left out. One shuffle by n-gram serves both the counts and the
-    rows; the counts read all columns so that it is the same shuffle.
+    the part of the prefix that other prefixes hold too. ``own`` counts the n-grams up to ``pos`` that no other prefix
+    holds. One shuffle by n-gram serves both the counts and the rows; the counts read all columns so that it is the
+    same shuffle.
     """
     rows = rows.repartition("gram")
     held = rows.groupBy("gram").agg(
@@ -154,12 +154,12 @@ def postings(rows: DataFrame, percent: int) -> DataFrame:
     length = F.least("n", F.col("n") - F.col("need") + MOST_MATCHES)
     costs = shared.groupBy("signature", "n", "need").agg(*cost, F.count("*").alias("held"))
     costs = costs.withColumn("shared", F.col("held") / length)
-    common = (100 + percent) * (F.col("n") - length + F.col("held")) - percent * F.col("n")
-    costs = costs.withColumn("limit", F.floor(common / percent).cast("int")).where(F.col("limit") * 100 >= F.col("n") * percent)
     allowed = [F.when(F.col("need") >= m, F.col(f"c{m}")) for m in range(1, MOST_MATCHES + 1)]
     cheapest = F.least(*allowed)
     chosen = F.coalesce(*[F.when(c == cheapest, m) for m, c in enumerate(allowed, 1)])
-    picked = shared.join(costs.select("signature", "shared", "limit", chosen.alias("matches")), "signature")
+    rank = F.row_number().over(Window.partitionBy("signature").orderBy("pos"))
+    ranked = shared.withColumn("own", F.col("pos") + 1 - rank)
+    picked = ranked.join(costs.select("signature", "shared", chosen.alias("matches")), "signature")
     return settle(picked.where("level <= matches").drop("times", "need"), "postings")
 
 
@@ -201,12 +201,15 @@ def candidates(matched: DataFrame, percent: int) -> DataFrame:
     """``a, b, count`` of pairs with enough matches whose places allow the similarity.
 
     ``matched`` has a row per common n-gram of two sets, as structs ``x`` and ``y``. What stands before the last match
-    without matching is in no common part, so it bounds the overlap of the two sets.
+    without matching is in no common part, so it bounds the overlap of the two sets. So does each match by itself: a common
+    n-gram before it is in both prefixes, thus no ``own`` one of either.
     """
+    before = F.least(F.expr("x.pos - x.own"), F.expr("y.pos - y.own"))
+    behind = F.least(F.expr("x.n - x.pos"), F.expr("y.n - y.pos"))
     fewest = F.least("x.matches", "y.matches")
     pairs = (
         matched.where((F.col("x.n") * 100 >= F.col("y.n") * percent) & (F.col("y.n") * 100 >= F.col("x.n") * percent))
-        .where("x.n <= y.limit AND y.n <= x.limit")
+        .where((before + behind) * (100 + percent) >= F.expr("x.n + y.n") * percent)
         .where(F.greatest("x.level", "y.level") <= fewest)
         .groupBy(
             F.col("x.signature").alias("a"), F.col("y.signature").alias("b"), F.col("x.n").alias("m"),
@@ -218,7 +221,7 @@ def candidates(matched: DataFrame, percent: int) -> DataFrame:
     return pairs.where(F.col("count") >= F.col("fewest")).where(most * (100 + percent) >= F.expr("m + n") * percent)
 
 
-SIDE = ["signature", "n", "pos", "level", "matches", "limit"]
+SIDE = ["signature", "n", "pos", "level", "matches", "own"]
 
 
 def leader_pairs(posts: DataFrame, percent: int) -> DataFrame:

@@ -84,6 +84,18 @@ def test_near_groups_of_many_variants(spark, words):
     assert sorted(map(tuple, got), key=str) == brute_components([(r[0], r[1]) for r in rows], 4, 85)
 
 
+def test_near_groups_of_lengthened_texts(spark, words):
+    rows = []
+    for i in range(80):
+        base = words(60 + i * 90 // 79, 500 + i)
+        own = [f"own{i}x{k}" for k in range(len(base) * (4 + i % 9) // 60)]
+        rows += [document(2 * i, " ".join(base)), document(2 * i + 1, " ".join(base + own))]
+    got = ngram_join.near_groups(spark.createDataFrame(rows, SCHEMA)).collect()
+    want = brute_components([(r[0], r[1]) for r in rows], 4, 85)
+    assert sum(r[0] != r[2] for r in want) > 50
+    assert sorted(map(tuple, got), key=str) == want
+
+
 def test_connected(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 40) if i != 20] + [(50, 50)], "a long, b long")
     got = {r.node: r.label for r in connected(edges).collect()}
