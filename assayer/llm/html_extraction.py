@@ -10,7 +10,8 @@ The elements of these classes, nested by their paths, are the template. A block
 the slot of the deepest template element around it. Slots are ranked by how much text outside links they
 hold over all pages of the host; parts that are asides by their names do not count. The best slot, widened to the
 ``article`` or ``main`` around it or else to the container of its paragraphs, is the article. From each page all blocks
-of the article are taken, without asides and without blocks of the template (``Share this``).
+of the article are taken, without asides and without blocks of the template (``Share this``). Equal pages of a
+host count once.
 """
 
 from __future__ import annotations
@@ -31,18 +32,14 @@ from assayer.session import settle
 
 CLASS_TOKENS = 3  # a class of the template has at least so many tokens
 CLASS_SHARE = 0.5  # and is on at least this share of the host's pages
-REPEATED_PAGES = 5  # blocks are template text only on hosts with so many pages
+REPEATED_CONTENTS = 1_000_000  # numbers of repeated pages that are broadcast
+HEADS = {"h1", "h2", "h3", "h4", "h5", "h6", "dt", "th", "caption"}
 SLOTS = 5
 BROADCAST_BYTES = 64 * 1024 * 1024
 _HOST = re.compile(r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)")
 SEPARATOR = ">"
 
 
-def host_of(url: str | None) -> str:
-    found = _HOST.match(url or "")
-    return found[1].lower() if found else ""
-
-
 def _number(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
 
@@ -89,14 +86,25 @@ def page_tokens(page: str) -> tuple[Counter, dict[str, list[int]]]:
     return counts, sizes
 
 
-def token_table(source: DataFrame) -> DataFrame:
-    """``host, token, pages, total, vector, chars, linked`` summed over each slice; ``p`` counts the pages."""
+def distinct_pages(source: DataFrame) -> DataFrame:
+    """``mark, host, html``, one row for all equal pages of a host."""
+    marked = source.select(F.xxhash64("host", "html").alias("mark"), "host", "html")
+    counts = marked.groupBy("mark").agg(F.count("*").alias("rows"))
+    repeated = settle(counts.where("rows > 1").select("mark"), "repeated-pages")
+    if repeated.count() > REPEATED_CONTENTS:
+        return marked.dropDuplicates(["mark"])
+    repeated = F.broadcast(repeated)
+    several = marked.join(repeated, "mark", "left_semi").dropDuplicates(["mark"])
+    return marked.join(repeated, "mark", "left_anti").unionByName(several)
+
+
+def token_table(pages: DataFrame) -> DataFrame:
+    """``host, token, pages, total, vector, chars, linked`` over ``distinct_pages``; ``p`` counts the pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0, 0, 0, 0])
-            for key, url, page in zip(*(c.to_pylist() for c in batch.columns)):
-                host = host_of(url)
+            for key, host, page in zip(*(c.to_pylist() for c in batch.columns)):
                 counts, sizes = page_tokens(page or "")
                 rows[host, "p"][0] += 1
                 for token, count in counts.items():
@@ -118,7 +126,7 @@ def token_table(source: DataFrame) -> DataFrame:
 
     names = ["host", "token", "pages", "total", "vector", "chars", "linked"]
     schema = "host string, token string, " + ", ".join(f"{n} bigint" for n in names[2:])
-    rows = source.mapInArrow(run, schema)
+    rows = pages.mapInArrow(run, schema)
     sums = [F.sum(n).alias(n) for n in ("pages", "total", "chars", "linked")]
     # a sum that wraps around: high and low halves apart, put together again modulo 2^64
     low = F.sum(F.col("vector").bitwiseAND(0xFFFFFFFF)).alias("low")
@@ -137,12 +145,12 @@ def templates(tokens: DataFrame) -> DataFrame:
     classes = marked.groupBy("host", "vector", "pages", "total").agg(
         F.count("*").alias("size"), F.collect_list("token").alias("members")
     )
-    valid = classes.where(F.col("size") >= CLASS_TOKENS).select("host", F.explode("members").alias("token"))
+    valid = classes.where(F.col("size") >= CLASS_TOKENS).select("host", "pages", F.explode("members").alias("token"))
     frame = valid.groupBy("host").agg(
         F.collect_set(F.when(F.col("token").startswith("e"), F.expr("substring(token, 2)"))).alias("elements")
     )
     texts = (
-        marked.where(F.col("token").startswith("t") & (F.col("of") >= REPEATED_PAGES))
+        valid.where(F.col("token").startswith("t") & (F.col("pages") > 1))
         .groupBy("host")
         .agg(F.collect_set(F.expr("substring(token, 2)")).alias("repeated"))
     )
@@ -168,7 +176,7 @@ def widen(slot: str) -> str:
     names = slot.split(SEPARATOR)
     for kind in ("article", "main"):
         for i, name in enumerate(names):
-            if name.split(".", 1)[0] == kind or kind in name.split(".")[1:]:
+            if name.split(".", 1)[0] == kind or kind in re.split("[.-]", name)[1:]:
                 return SEPARATOR.join(names[: i + 1])
     while len(names) > 1 and names[-1].split(".", 1)[0] in TEXT:
         names.pop()
@@ -178,7 +186,7 @@ def widen(slot: str) -> str:
 def widened(slot, path):
     """``widen`` as a column; a slot outside every template element is widened from its own path."""
     base = F.when(slot == "", path).otherwise(slot)
-    named = "(^|>)({k}([.][^>]*)?|[^>]*[.]{k}([.][^>]*)?)(?=>|$)"
+    named = "(^|>)({k}([.][^>]*)?|[^>]*[.-]{k}([.-][^>]*)?)(?=>|$)"
     text = "(>(" + "|".join(sorted(TEXT)) + ")([.][^>]*)?)+$"
     out = F.regexp_replace(base, text, "")
     for kind in ("main", "article"):
@@ -187,20 +195,35 @@ def widened(slot, path):
     return out
 
 
+def within(path: str, slot: str) -> bool:
+    return not slot or path == slot or path.startswith(slot + SEPARATOR)
+
+
 def article_text(page: str, articles: list[str], repeated: set[str]) -> str:
-    """Blocks of the first slot in ``articles`` that has text on this page, joined by line breaks."""
+    """Blocks of the slot in ``articles`` that holds most of this page's own text, joined by line breaks.
+
+    A block counts for the deepest slot around it. Template text inside the slot goes if it is the lesser part of the
+    slot's text; where it is more, the host's pages are much alike and it is the article. Headings stay.
+    """
     blocks = [(path, body, linked) for path, body, linked in blocks_of(page) if body]
-    if repeated:
-        blocks = [b for b in blocks if repeat_mark(b[0], b[1]) not in repeated]
+    fixed = lambda path, body: (
+        path.rsplit(SEPARATOR, 1)[-1].split(".", 1)[0] not in HEADS and repeat_mark(path, body) in repeated
+    )
+    marked = [(path, body, len(body) - linked, bool(repeated) and fixed(path, body)) for path, body, linked in blocks]
     weights: Counter = Counter()
-    for path, body, linked in blocks:
-        weights[widen(path)] += len(body) - linked
-    own = max(weights, key=lambda w: (weights[w], w), default="")
-    for article in [*articles, own]:
-        inside = [b for path, b, _ in blocks if not article or path == article or path.startswith(article + SEPARATOR)]
-        if inside:
-            return "\n".join(inside)
-    return ""
+    own: Counter = Counter()
+    for path, _, weight, template in marked:
+        around = [a for a in articles if within(path, a)]
+        if around:
+            weights[max(around, key=len)] += weight * (not template)
+        own[widen(path)] += weight
+    best = max(articles, key=lambda a: weights.get(a, -1), default=None)
+    if best not in weights:
+        best = max(own, key=lambda w: (own[w], w), default="")
+    inside = [m for m in marked if within(m[0], best)]
+    gone = sum(len(body) for _, body, _, template in inside if template)
+    few = 2 * gone < sum(len(body) for _, body, _, _ in inside)
+    return "\n".join(body for _, body, _, template in inside if not (template and few))
 
 
 def extract(
@@ -214,8 +237,9 @@ def extract(
     source = pages.select(
         F.col(id_column).alias("page_id"), F.col(url_column).alias("url"), F.col(html_column).alias("html")
     )
-    plans = settle(templates(settle(token_table(source), "tokens")), "templates")
     host = F.lower(F.coalesce(F.regexp_extract("url", _HOST.pattern, 1), F.lit("")))
+    distinct = distinct_pages(source.withColumn("host", host))
+    plans = settle(templates(settle(token_table(distinct), "tokens")), "templates")
     size = plans.agg(F.sum(F.length(F.to_json(F.struct("*"))) * 2)).first()[0] or 0
     held = plans.withColumnRenamed("host", "of_host")
     joined = source.withColumn("host", host).join(

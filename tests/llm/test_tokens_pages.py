@@ -134,6 +134,34 @@ def test_extraction(spark):
     assert html_extraction.extract(table.where("false")).count() == 0
 
 
+def test_extraction_of_copies(spark):
+    body = lambda k: f"<html><body><article><h2>Introduction</h2><p>{k} one</p><p>{k} two</p><p>{k} three</p></article></body></html>"
+    text = lambda k: f"Introduction\n{k} one\n{k} two\n{k} three"
+    cases = {"a": ["same"] * 5, "b": ["same"] * 3 + ["p", "q", "r"], "c": ["same"] * 9 + ["p"]}
+    rows = [(i, f"http://{h}.org/{i}", body(k), text(k)) for h, ks in cases.items() for i, k in enumerate(ks)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string, want string")
+    got = {(r.url): r.text for r in html_extraction.extract(table.drop("want")).collect()}
+    assert got == {r[1]: r[3] for r in rows}
+
+
+@pytest.mark.parametrize(
+    "outer",
+    ['<body class="no-sidebar">', '<body class="header-image single">', '<body><main class="with-sidebar">',
+     '<body><article class="post widget">', '<body><div id="page" class="search-page">'],
+)
+def test_outer_elements_are_no_asides(outer):
+    page = f"<html>{outer}<p>The text</p><div class='site-footer'>Foot</div><div class='share'>Share</div>"
+    blocks = [body for _, body, _ in html_extraction.blocks_of(page) if body]
+    assert blocks == ["The text"]
+    assert html_extraction.article_text(page, [], set()) == "The text"
+
+
+def test_slot_with_most_text_of_the_page():
+    page = "<html><body><div class=lead><p>Short</p></div><div class=story><p>The long text of this page</p></div>"
+    slots = ["html>body>div.lead", "html>body>div.story"]
+    assert html_extraction.article_text(page, slots, set()) == "The long text of this page"
+
+
 def test_parts_are_lenient():
     text = lambda h: " ".join("".join(t for k, _, t, _ in parts(h) if k == "text").split())
     assert text("<p>a<p>b<style>x{}</style>c") == "abc"
