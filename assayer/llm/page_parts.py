@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|"
@@ -38,22 +39,31 @@ ASIDE_WORDS = {
     "navbar", "navigation", "newsletter", "notice", "popup", "promo", "promoted", "related", "replies", "respond", "search",
     "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "widget", "reader",
 }
+#: Words that an aside's name may have besides; any other makes it another name (``no-sidebar``, ``header-image``).
+ASIDE_BESIDES = {"site", "list", "area", "box", "section", "block", "links", "buttons", "posts"}
+NO_ASIDES = {"html", "body", "main", "article"}
 DEPTH = 60
 
 
 def component(tag: str, attributes: str) -> str:
-    """Name of an element in a path: its tag and the words of its class, id and role, sorted."""
+    """Name of an element in a path: its tag and the values of its class, id and role without numbers, sorted."""
     marks = set()
     if attributes:
         for _, a, b, c in _MARKS.findall(attributes):
-            marks.update(_WORDS.findall((a or b or c).lower()))
-    return ".".join([tag, *sorted(m for m in marks if not m.isdigit())])
+            for value in (a or b or c).lower().split():
+                marks.add("-".join(w for w in _WORDS.findall(value) if not w.isdigit()))
+    return ".".join([tag, *sorted(marks - {""})])
 
 
+@lru_cache(1 << 16)
 def is_aside(name: str) -> bool:
     """Whether a path component is by its name no part of an article."""
-    tag, *words = name.split(".")
-    return tag in ASIDE_TAGS or not ASIDE_WORDS.isdisjoint(words)
+    tag, *values = name.split(".")
+    if tag in NO_ASIDES:
+        return False
+    return tag in ASIDE_TAGS or any(
+        (words := set(v.split("-")) - ASIDE_BESIDES) and words <= ASIDE_WORDS for v in values
+    )
 
 
 def parts(page: str) -> Iterator[tuple[str, tuple[str, ...], str, bool]]:
