@@ -2,13 +2,13 @@
 
 The rules find e-mail addresses, IPv4 addresses, card numbers and telephone numbers; what they
 find always stays. Generators propose further, overlapping spans around digits and ``@``: the bare
-chunk, the value behind ``=`` or ``:``, and neighbouring digit chunks taken together. Trees score each by
+chunk, all values behind ``=`` or ``:``, and neighbouring digit chunks taken together. Trees score each by
 its format and by the text before it, a threshold per kind chosen on held-out examples selects,
 and of selected spans that overlap the best one stays.
 
 The trees learn from at most about ``SAMPLE_TEXTS`` texts that hold a digit or ``@``, chosen by
 hash, and from examples written by rule. In the sampled texts, proposals on a rule's span are positive;
-short ones elsewhere, and those without a letter, are negative. Everything else covers all rows.
+short ones with a letter elsewhere are negative, unless a credential's or contact's name stands before them. Everything else covers all rows.
 """
 
 from __future__ import annotations
@@ -39,8 +39,13 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _SIGN = re.compile(r"[0-9@]")
 _SPACE = re.compile(r"\s")
-_VALUE = re.compile(r"[A-Za-z_-]{2,20}[=:][\"']?([^\s\"'=]{6,})")
-_NUMBER_PARTS = re.compile(r"\(?[0-9]{2,5}\)?(?:[ ./-]\(?[0-9]{2,5}\)?){1,5}")
+_KEY = re.compile(r"[A-Za-z_-]{2,20}[\"']?[=:][\"']?")
+_VALUE = re.compile(r"[^\s\"'=]{6,}")
+_NUMBER_START = re.compile(r"(?<![0-9])\(?[0-9]{2,5}")
+_CREDENTIAL = re.compile(
+    r"(?:pass(?:word|wd|phrase)?|pwd|token|secret|api[_-]?key|credentials?)[\"']?\s{0,2}[=:]\s{0,2}[\"']?([^\s\"'=]{6,})", re.I
+)
+_NUMBER_PARTS = re.compile(r"\(?[0-9]{2,5}\)?(?:[ ./-]\(?[0-9]{2,9}(?![0-9])\)?){1,5}")
 _NAMES = re.compile(
     r"(pass(word|wd|phrase)?|pwd|token|secret|api|key|auth\w*|credential\w*|bearer|login)\W{0,4}$", re.I
 )
@@ -91,8 +96,15 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def proposals(text: str) -> list[tuple[str, int, int]]:
-    """Overlapping spans around every chunk that has a digit or ``@``."""
+    """Overlapping spans around every chunk that has a digit or ``@``, and values of any kind behind credential names."""
     out, at = [], 0
+
+    def add_value(left: int, right: int) -> None:
+        while right > left and text[right - 1] in ".,;:!?)}]&":
+            right -= 1
+        if right - left >= 6 and ("secret", left, right) not in out[-4:]:
+            out.append(("secret", left, right))
+
     while m := _SIGN.search(text, at):
         start = m.start()
         while start > at and not text[start - 1].isspace():
@@ -106,17 +118,25 @@ def proposals(text: str) -> list[tuple[str, int, int]]:
             right -= 1
         if right - left >= 6:
             out.append(("contact" if "@" in text[left:right] else "secret", left, right))
-        value = _VALUE.search(text, start, end)
-        if value:
-            right = value.end(1)
-            while right > value.start(1) and text[right - 1] in ".,;:!?)":
-                right -= 1
-            if right - value.start(1) >= 6:
-                out.append(("secret", value.start(1), right))
-        number = _NUMBER_PARTS.match(text, start)
-        if number and 7 <= len(digits_of(number[0])) <= 19:
-            out.append(("number", number.start(), number.end()))
+        keys = list(_KEY.finditer(text, start, end))
+        for i, key in enumerate(keys):
+            value = _VALUE.match(text, key.end(), end)
+            if value:
+                following = keys[i + 1].start() if i + 1 < len(keys) else end
+                add_value(value.start(), min(value.end(), following))
+                if following < value.end() and (i == 0 or value.end() - value.start() <= 512):
+                    add_value(value.start(), value.end())
+        done = start
+        for first in _NUMBER_START.finditer(text, start, end):
+            number = _NUMBER_PARTS.match(text, first.start()) if first.start() >= done else None
+            if number:
+                done = number.end()
+                if 7 <= len(digits_of(number[0])) <= 19:
+                    out.append(("number", number.start(), done))
         at = max(end, m.start() + 1)
+    for named in _CREDENTIAL.finditer(text):
+        if not _SIGN.search(named[1]):
+            add_value(*named.span(1))
     return out
 
 
@@ -154,6 +174,8 @@ def written_examples(count: int, seed: int) -> tuple[np.ndarray, np.ndarray, lis
         ("secret", lambda: ("", pick(up, 4) + pick(up + dig, size(12, 30)))),
         ("secret", lambda: ("", word()[:3] + "_" + pick(low + up + dig, size(16, 45)))),
         ("secret", lambda: (str(rng.choice(["password=", "token: ", 'secret = "', "api_key=", "pwd:"])), pick(low + up + dig, size(8, 40)))),
+        ("secret", lambda: (str(rng.choice(["password: ", "passphrase=", "pwd: "])), "-".join([word() + "ab", word(), word()]))),
+        ("secret", lambda: (str(rng.choice(["token: ", '"api_key":"', "secret="])), pick(low + up, size(12, 40)))),
         ("contact", lambda: ("", f"{word()}.{word()}@{word()}")),
         ("contact", lambda: ("mail: ", f"{word()}@{word()}.{word()[:2]}")),
         ("number", lambda: ("", f"({number(200, 999)}) {number(200, 999)}-{number(1000, 9999)}")),
@@ -167,6 +189,7 @@ def written_examples(count: int, seed: int) -> tuple[np.ndarray, np.ndarray, lis
         ("secret", lambda: ("", f"{word()}-{word()}-{number(1, 30)}")),
         ("secret", lambda: ("", f"http://{word()}.{word()}/{word()}/{number(1, 9999)}")),
         ("secret", lambda: ("", number(100_000, 99_999_999))),
+        ("secret", lambda: (str(rng.choice(["password: ", "token: "])), pick(low, size(6, 9)))),
         ("contact", lambda: ("", f"{word()} @{word()}"[-6:])),
         ("number", lambda: ("", f"{number(1900, 2100)}-{number(10, 13)}-{number(10, 32)}")),
         ("number", lambda: ("", f"{number(1900, 2100)} {number(1900, 2100)} {number(10, 99)}")),
@@ -208,8 +231,9 @@ def learn(documents: DataFrame, text_column: str = "text", sample: int = SAMPLE_
                 for kind, s, e in proposals(text):
                     cover = [(a, b) for a, b in inside if a < e and s < b]
                     whole = any(a - 3 <= s and e <= b + 3 for a, b in cover)
-                    plain = not any(c.isalpha() for c in text[s:e])
-                    if whole or not cover and (e - s < 14 or plain):
+                    short = e - s < 14 and any(c.isalpha() for c in text[s:e])
+                    before = text[max(0, s - 24) : s]
+                    if whole or not cover and short and not (_NAMES.search(before) or _REACH.search(before)):
                         rows.append((kind, float(whole), describe(text, kind, s, e)))
             yield pd.DataFrame(rows, columns=["kind", "label", "x"])
 
@@ -233,7 +257,7 @@ def learn(documents: DataFrame, text_column: str = "text", sample: int = SAMPLE_
 
 
 def added_spans(texts: list[str], bases: list[list], model: SpanModel) -> list[list[tuple[str, int, int, float]]]:
-    """Selected proposals of each text that touch no rule's span and none with a higher score."""
+    """Selected proposals of each text that touch no rule's span and none with a higher score; a whole number goes before parts of it."""
     place, rows = [], []
     for i, (text, base) in enumerate(zip(texts, bases)):
         for kind, s, e in proposals(text):
@@ -244,9 +268,17 @@ def added_spans(texts: list[str], bases: list[list], model: SpanModel) -> list[l
     if not rows:
         return out
     scores = model.trees.predict(np.array(rows))
+    numbers: list[list] = [[] for _ in texts]
+    for k, (i, kind, s, e) in enumerate(place):
+        if kind == "number" and scores[k] >= model.thresholds[kind]:
+            numbers[i].append((s, e))
     for k in sorted(range(len(rows)), key=lambda k: (-scores[k], place[k])):
         i, kind, s, e = place[k]
-        if scores[k] >= model.thresholds[kind] and not any(a < e and s < b for _, a, b, _ in out[i]):
+        part = any(
+            (a, b) != (s, e) and (a <= s and e <= b or kind != "number" and (s < a < e < b or a < s < b < e))
+            for a, b in numbers[i]
+        )
+        if scores[k] >= model.thresholds[kind] and not part and not any(a < e and s < b for _, a, b, _ in out[i]):
             out[i].append((kind, s, e, float(scores[k])))
     return [sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]))) for spans in out]
 

@@ -148,6 +148,34 @@ def test_base_spans_equal_plain_rules():
         assert personal_data.base_spans(text) == plain_spans(text), text
 
 
+@pytest.mark.parametrize(
+    ("text", "span"),
+    [("https://x.io/?user=ann77&token=AKIA1234abcd", "AKIA1234abcd"), ('{"n":1,"api_key":"q9w8e7r6t5"}', "q9w8e7r6t5"),
+     ("Tel:(555) 123-4567", "(555) 123-4567"), ("x/0171-2345678", "0171-2345678"),
+     ("my password: correct-horse-battery.", "correct-horse-battery")],
+)
+def test_proposals_hold_every_value(text, span):
+    assert span in [text[s:e] for _, s, e in personal_data.proposals(text)]
+
+
+def test_recall_on_planted_values(spark, documents):
+    model, rng = personal_data.learn(documents), np.random.default_rng(5)
+    pick = lambda letters, n: "".join(rng.choice(list(letters), n))
+    low, dig = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    makers = {
+        "token": lambda: ("see https://x.io/?user=ann77&token=", pick(low + low.upper() + dig, 24)),
+        "password": lambda: ("the password: ", "-".join(pick(low, 7) for _ in range(3))),
+        "number": lambda: ("call Tel:", f"({pick('23456789', 3)}) {pick(dig, 3)}-{pick(dig, 4)}"),
+    }
+    for kind, make in makers.items():
+        planted = [make() for _ in range(100)]
+        texts = [f"{lead}{value} and more" for lead, value in planted]
+        _, added = personal_data.scan(texts, model)
+        hit = sum(any(s <= len(lead) and e >= len(lead) + len(v) for _, s, e, _ in a) for (lead, v), a in zip(planted, added))
+        print(f"recall {kind}: {hit} of 100")
+        assert hit >= 80, kind
+
+
 def test_added_spans_and_redaction(spark, documents, nothing):
     rows = [document(1, PII), document(2, None), document(3, ""), document(4, "plain words only"), document(5, PII)]
     table = spark.createDataFrame(rows, SCHEMA)
