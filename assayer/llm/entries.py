@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.llm import language_id, lm_scoring, sentence_pieces
+from assayer.llm import importance, language_id, lm_scoring, periodic_runs, sentence_pieces, simhash_groups
 from assayer.llm.exact_dedup import exact_groups
 from assayer.llm.html_extraction import extract
 from assayer.llm.ngram_join import near_groups
@@ -97,6 +97,30 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extract(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_groups.near_groups(table(spark, folder, "documents"))
+
+
+def op12_importance(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    found = periodic_runs.find_runs(documents, edit=periodic_runs.with_repeated_tail)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    written = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"strongest.{name}").alias(name) for name in ("start", "length", "period")],
+        F.expr("strongest.length * 1000 div strongest.period").alias("exponent_milli"),
+        F.sha2(written, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_lm_scoring": op2_lm_scoring,
@@ -108,6 +132,9 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_html_extraction": op10_html_extraction,
+    "op11_simhash_groups": op11_simhash_groups,
+    "op12_importance": op12_importance,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 SQL = {
@@ -117,4 +144,55 @@ SQL = {
                count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM d""",
+    "op12_importance": r"""
+        WITH RECURSIVE texts AS (
+          SELECT 'd' AS kind, doc_id AS id, text FROM documents
+          UNION ALL SELECT 'b', item_id, text FROM benchmark
+        ), words AS (
+          SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+        ), runs AS (
+          SELECT kind, id, unnest([word, word || ' ' || next, word || ' ' || next || ' ' || lead(next) OVER later]) AS run
+          FROM (SELECT kind, id, place, word, lead(word) OVER (PARTITION BY kind, id ORDER BY place) AS next
+                FROM (SELECT kind, id, unnest(w) AS word, unnest(range(len(w))) AS place FROM words))
+          WINDOW later AS (PARTITION BY kind, id ORDER BY place)
+        ), counted AS MATERIALIZED (
+          SELECT kind, id, run, count(*) AS n FROM runs WHERE run IS NOT NULL GROUP BY ALL
+        ), longest AS MATERIALIZED (
+          SELECT max(strlen(run)) AS size FROM counted
+        ), steps AS (
+          SELECT b, list_reduce(list_prepend(b, range(8)),
+                 lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS step
+          FROM range(256) bytes(b)
+        ), states AS (  -- what byte b, or for 256 the state at the start, leaves of itself after k more bytes
+          SELECT b, 0::BIGINT AS k, step AS state FROM steps UNION ALL SELECT 256, 0, 4294967295
+          UNION ALL
+          SELECT x.b, x.k + 1, xor(y.step, x.state >> 8) FROM states x JOIN steps y ON y.b = x.state & 255
+          WHERE x.k < (SELECT size FROM longest)
+        ), places AS (
+          SELECT run, hex(encode(run)) AS h, strlen(run) AS size, unnest(range(-1, size)) AS i
+          FROM (SELECT DISTINCT run FROM counted)
+        ), sums AS (
+          SELECT run, xor(4294967295, bit_xor(state)) % 10000 AS bucket
+          FROM places JOIN states ON k = size - 1 - i
+           AND b = CASE WHEN i < 0 THEN 256 ELSE ('0x' || substr(h, 2 * i + 1, 2))::BIGINT END
+          GROUP BY run
+        ), buckets AS (
+          SELECT bucket, sum(CASE WHEN kind = 'd' THEN n ELSE 0 END) AS s, sum(CASE WHEN kind = 'b' THEN n ELSE 0 END) AS t
+          FROM counted JOIN sums USING (run) GROUP BY bucket
+        ), gains AS (
+          SELECT bucket, floor(1000 * ln((t + 1.0::DOUBLE) * ((SELECT sum(s) FROM buckets)::DOUBLE + 10000)
+                 / ((s + 1.0::DOUBLE) * ((SELECT sum(t) FROM buckets)::DOUBLE + 10000))))::BIGINT AS gain FROM buckets
+        ), weights AS (
+          SELECT id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+          FROM counted JOIN sums USING (run) JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY id
+        ), scored AS (
+          SELECT id AS doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                 coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE)
+                 / 4294967296)))::BIGINT AS score
+          FROM words LEFT JOIN weights USING (id) WHERE kind = 'd'
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN place * 100 <= 5 * able AND n_words >= 20 THEN place END AS rank
+        FROM (SELECT *, count(*) FILTER (n_words >= 20) OVER () AS able,
+                     row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place FROM scored)""",
 }
