@@ -1,10 +1,13 @@
 """A linear perceptron on long term weights, in two distributed forms.
 
+``fit_summed``, the default, adds up the corrections of all misjudged documents per epoch. Terms are numbered and
+their weights kept in blocks; the training rows are dealt by document once and stay where they are. Per
+epoch the blocks visit the rows, margins, test and correction happen in place, and only partly summed
+corrections are shuffled, by term. Neither the driver nor a task holds more than a block of weights.
+
 ``fit_mixed`` is iterative parameter mixing (McDonald, Hall and Mann, 2010): each epoch
 every shard runs over its documents from the shared weights and the shards' changes are
-averaged. The weights travel to all tasks, so it needs a vocabulary of bounded size.
-``fit_summed`` adds up the corrections of all misjudged documents per epoch with joins
-and aggregations only, whatever the size of the vocabulary.
+averaged. All weights travel to all tasks, so it takes ``MIXED_TERMS`` terms at most.
 
 A model is a table ``(term, w, n)``: weight and number of training documents of each
 term, and one row for the bias.
@@ -19,15 +22,21 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from assayer.functions.fixed_values import PERCEPTRON_EPOCHS, SEED
 from assayer.functions.ordering import shuffle_key
 from assayer.operators import metrics
 from assayer.operators.lookup import join_terms
-from assayer.session import settle
+from assayer.session import discard, settle
 
 SHARDS = 8
+MIXED_TERMS = 1_000_000  # most terms that ``fit_mixed`` takes
+BLOCK_TERMS = 2_000_000  # terms of a block, whose numbers and weights are broadcast (16 bytes each)
+BLOCKS_AT_ONCE = 4
+BIAS_NUMBER = -1
 PATIENCE = 5
 BIAS = "\u0001bias"  # no cleaned term holds this character
 MODEL = "term string, w double, n bigint"
@@ -73,6 +82,69 @@ def signed_labels(labels: DataFrame, key: str, label: str) -> DataFrame:
     return labels.select(key, F.when(F.col(label) == 1, 1.0).otherwise(-1.0).alias("y"))
 
 
+def numbered_terms(rows: DataFrame, block_terms: int = BLOCK_TERMS) -> DataFrame:
+    """``(term, n, block, i)``: documents per term, its number, and the block of some ``block_terms`` terms it is in.
+
+    Blocks are ranges of the sorted terms; numbers rise within a block but do not follow one another across blocks.
+    """
+    counts = settle(rows.groupBy("term").agg(F.count("*").alias("n")), "term-counts")
+    blocks = max(1, -(-counts.count() // block_terms))
+    placed = counts.repartitionByRange(blocks, "term")
+    numbered = placed.select(
+        "term", "n", F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("i")
+    )
+    return settle(numbered, "numbered-terms")
+
+
+@dataclass
+class KeptRows:
+    """Training rows ``(key, y, block, i, weight)``, dealt by document once; each document has a row for the bias.
+
+    ``open`` deals and keeps them in memory and on disk; a lost part is read again from the settled table.
+    """
+
+    rows: DataFrame
+    key: str
+    blocks: int
+    held: DataFrame | None = None
+
+    def __enter__(self) -> KeptRows:
+        dealt = self.rows.repartition(self.key).sortWithinPartitions(self.key)
+        self.held = dealt.persist(StorageLevel.MEMORY_AND_DISK)
+        return self
+
+    def __exit__(self, *failure) -> None:
+        self.held.unpersist()
+
+    def misjudged(self, model: DataFrame) -> DataFrame:
+        """Rows ``(i, correction)`` of the documents that ``model(block, i, w)`` puts on the wrong side, or on neither.
+
+        With one block the margin is a sum over the document's rows where they are. With more, each block's part of
+        the margins is summed in place, and only these parts and the misjudged documents are shuffled.
+        """
+        key, correction = self.key, (F.col("y") * F.col("weight")).alias("correction")
+        product = F.col("weight") * F.col("w")
+        if self.blocks == 1:
+            joined = self.held.join(F.broadcast(model.select("i", "w")), "i")
+            margin = F.sum(product).over(W.partitionBy(key))
+            return joined.withColumn("margin", margin).where(F.col("y") * F.col("margin") <= 0).select("i", correction)
+        parts = []
+        for first in range(0, self.blocks, BLOCKS_AT_ONCE):
+            some = [
+                self.held.where(F.col("block") == b)
+                .join(F.broadcast(model.where(F.col("block") == b).select("i", "w")), "i")
+                .groupBy(key, "y")
+                .agg(F.sum(product).alias("part"))
+                for b in range(first, min(self.blocks, first + BLOCKS_AT_ONCE))
+            ]
+            parts.append(settle(reduce(DataFrame.unionByName, some), "margins"))
+        sums = reduce(DataFrame.unionByName, parts).groupBy(key, "y").agg(F.sum("part").alias("margin"))
+        wrong = settle(sums.where(F.col("y") * F.col("margin") <= 0).select(key), "misjudged")
+        for part in parts:
+            discard(part)
+        return self.held.join(wrong, key, "left_semi").select("i", correction)
+
+
 def fit_summed(
     weights: DataFrame,
     labels: DataFrame,
@@ -80,37 +152,57 @@ def fit_summed(
     label: str,
     epochs: Sequence[int] = PERCEPTRON_EPOCHS,
     tol: float | None = 1e-3,
+    block_terms: int = BLOCK_TERMS,
 ) -> dict[int, DataFrame]:
-    """Models after each wanted number of epochs, by summed corrections.
+    """Models after each wanted number of epochs, by summed corrections; one training run yields them all.
 
     Sums are divided by the number of documents, which scales all weights alike and
-    changes no prediction. The loss is the share of misjudged documents.
+    changes no prediction. The loss is the share of misjudged documents. A document whose margin is 0 is
+    misjudged. Without documents the model is a bias of 0. Null keys join nothing and take no part.
     """
-    docs = settle(signed_labels(labels, key, label), "labels")
+    docs = settle(signed_labels(labels, key, label).where(F.col(key).isNotNull()), "labels")
     terms = settle(docs.join(weights, key).select(key, "y", "term", "weight"), "training-terms")
     size = docs.count()
-    bias = terms.sparkSession.createDataFrame([(BIAS, 0.0, size)], MODEL)
-    counts = terms.groupBy("term").agg(F.lit(0.0).alias("w"), F.count("*").alias("n"))
-    model = settle(counts.unionByName(bias), "perceptron")
-    stopper, wanted, out = Stopper(tol), sorted(set(epochs)), {}
-    for epoch in range(1, wanted[-1] + 1):
-        judged = with_margin(docs, terms, key, model)
-        wrong = settle(judged.where(F.col("y") * F.col("margin") <= 0).select(key, "y"), "misjudged")
-        shift = (
-            terms.join(wrong.select(key), key, "left_semi")
-            .groupBy("term")
-            .agg(F.sum(F.col("y") * F.col("weight")).alias("shift"))
-            .unionByName(wrong.agg(F.coalesce(F.sum("y"), F.lit(0.0)).alias("shift")).withColumn("term", F.lit(BIAS)))
-        )
-        moved = F.col("w") + F.coalesce(F.col("shift"), F.lit(0.0)) / size
-        model = settle(
-            model.join(shift, "term", "left").select("term", moved.alias("w"), "n"), "perceptron"
-        )
-        if epoch in wanted:
-            out[epoch] = model
-        if stopper.done(wrong.count() / size):
-            break
-    return {e: out.get(e, model) for e in wanted}
+    numbered = numbered_terms(terms, block_terms)
+    blocks = (numbered.agg(F.max("block")).first()[0] or 0) + 1
+    bias_rows = docs.select(
+        key, "y", F.lit(0).alias("block"), F.lit(BIAS_NUMBER).cast("bigint").alias("i"), F.lit(1.0).alias("weight")
+    )
+    known = join_terms(terms, numbered, "term", "n", key).select(key, "y", "block", "i", "weight")
+    rows = settle(known.unionByName(bias_rows), "training-rows")
+    discard(terms)
+    bias = terms.sparkSession.createDataFrame(
+        [(0, BIAS_NUMBER, 0.0, size)], "block int, i bigint, w double, hits bigint"
+    )
+    start = numbered.select("block", "i", F.lit(0.0).alias("w"), F.lit(0).cast("bigint").alias("hits"))
+    model = settle(start.unionByName(bias), "perceptron")
+    stopper, wanted, kept_models = Stopper(tol), sorted(set(epochs)), {}
+    with KeptRows(rows, key, blocks) as kept:
+        for epoch in range(1, (wanted[-1] if size else 0) + 1):
+            shifts = kept.misjudged(model).groupBy("i").agg(
+                F.sum("correction").alias("shift"), F.count("*").alias("wrong")
+            )
+            moved = F.col("w") + F.coalesce(F.col("shift"), F.lit(0.0)) / size
+            hits = F.coalesce(F.col("wrong"), F.lit(0)).alias("hits")
+            newer = settle(model.join(shifts, "i", "left").select("block", "i", moved.alias("w"), hits), "perceptron")
+            if epoch - 1 not in wanted:
+                discard(model)
+            model = newer
+            if epoch in wanted:
+                kept_models[epoch] = model
+            # the bias has a row in every document
+            wrong = model.where(F.col("i") == BIAS_NUMBER).first()["hits"]
+            if stopper.done(wrong / size):
+                break
+    named = numbered.select("term", "n", "i").unionByName(
+        terms.sparkSession.createDataFrame([(BIAS, size, BIAS_NUMBER)], "term string, n bigint, i bigint")
+    )
+
+    def as_table(learned: DataFrame) -> DataFrame:
+        return settle(named.join(learned, "i").select("term", "w", "n"), "perceptron")
+
+    final = as_table(model)
+    return {e: as_table(kept_models[e]) if kept_models.get(e, model) is not model else final for e in wanted}
 
 
 def shard_epoch(documents: DataFrame, shared, seed: int, epoch: int) -> pd.Series:
@@ -156,9 +248,12 @@ def fit_mixed(
     """Models after each wanted number of epochs; one training run yields them all.
 
     Shards are cut by key hash, so the result depends on their number but on no other
-    partitioning or setting of the cluster.
+    partitioning or setting of the cluster. More than ``MIXED_TERMS`` terms are refused.
     """
     spark = weights.sparkSession
+    terms = weights.select("term").distinct().count()
+    if terms > MIXED_TERMS:
+        raise ValueError(f"{terms} terms are too many to send to every task; use method='summed'")
     vocabulary = weights.groupBy("term").agg(F.count("*").alias("n")).orderBy("term").toPandas()
     vocabulary["i"] = np.arange(len(vocabulary), dtype=np.int32)
     indexed = settle(
@@ -217,14 +312,14 @@ def fit_perceptron(
     label: str,
     epochs: Sequence[int] = PERCEPTRON_EPOCHS,
     tol: float | None = 1e-3,
-    method: str = "mixed",
+    method: str = "summed",
     shards: int = SHARDS,
 ) -> dict[int, DataFrame]:
-    """``{epochs: model}`` by the ``method`` asked for: ``mixed`` or ``summed``.
+    """``{epochs: model}`` by the ``method`` asked for: ``summed`` or ``mixed``.
 
-    The two learn differently, so the size of the data never chooses between them: ``mixed`` sends the
-    weights of the whole vocabulary to every task, ``summed`` takes any vocabulary.
-    ``weights(key, term, weight)`` holds the documents of ``labels(key, label)``.
+    The two learn differently, so the size of the data never chooses between them: ``summed`` takes any
+    vocabulary, ``mixed`` sends the weights of the whole vocabulary to every task and refuses a large one.
+    ``shards`` counts for ``mixed`` only. ``weights(key, term, weight)`` holds the documents of ``labels(key, label)``.
     """
     if method not in ("mixed", "summed"):
         raise ValueError(f"unknown method {method!r}")
@@ -237,11 +332,37 @@ def fit_perceptron(
 def sweep_epochs(
     models: dict[int, DataFrame], docs: DataFrame, weights: DataFrame, key: str, label: str
 ) -> DataFrame:
-    """Validation F1 and accuracy by number of epochs."""
-
-    def scores(position: int, epochs: int) -> DataFrame:
-        judged = predict(docs.select(key, label), weights, key, models[epochs])
-        row = metrics.binary_scores(metrics.confusion(judged, label, "prediction"))
-        return row.select(F.lit(position).alias("grid_pos"), F.lit(epochs).alias("epochs"), "f1", "accuracy")
+    """Validation F1 and accuracy by number of epochs, in one pass over the documents.
 
-    return reduce(DataFrame.unionByName, [scores(i, e) for i, e in enumerate(models)])
+    Numbers of epochs that share a model (training had stopped before) are scored once.
+    """
+    distinct = {id(m): m for m in models.values()}
+    stacked = reduce(
+        DataFrame.unionByName, [m.withColumn("model", F.lit(i)) for i, m in enumerate(distinct.values())]
+    )
+    vectors = settle(
+        stacked.groupBy("term").agg(
+            F.max("n").alias("n"),
+            *[F.max(F.when(F.col("model") == i, F.col("w"))).alias(f"w{i}") for i in range(len(distinct))],
+        ),
+        "models",
+    )
+    found = join_terms(weights.select(key, "term", "weight"), vectors.where(F.col("term") != BIAS), "term", "n", key)
+    sums = found.groupBy(key).agg(
+        *[F.sum(F.col("weight") * F.col(f"w{i}")).alias(f"s{i}") for i in range(len(distinct))]
+    )
+    bias = vectors.where(F.col("term") == BIAS).first()
+    said = [
+        F.struct(
+            F.lit(i).alias("model"),
+            (F.coalesce(F.col(f"s{i}"), F.lit(0.0)) + bias[f"w{i}"] > 0).cast("int").alias("prediction"),
+        )
+        for i in range(len(distinct))
+    ]
+    judged = docs.select(key, label).join(sums, key, "left").select(label, F.inline(F.array(*said)))
+    scores = metrics.binary_scores(metrics.confusion(judged, label, "prediction", ["model"]), by=["model"])
+    number = {known: i for i, known in enumerate(distinct)}
+    points = docs.sparkSession.createDataFrame(
+        [(i, e, number[id(m)]) for i, (e, m) in enumerate(models.items())], "grid_pos int, epochs int, model int"
+    )
+    return points.join(F.broadcast(scores), "model").select("grid_pos", "epochs", "f1", "accuracy")

@@ -25,7 +25,8 @@ from assayer.plans.standins import (
     sql_split,
     sql_with,
 )
-from assayer.session import settle
+from assayer.session import new_folder, settle
+from assayer.sources.tables import read_headlines
 
 QUERIES = {}
 SQL = {}
@@ -104,6 +105,12 @@ def porter_stems(spark: SparkSession, folder: str) -> DataFrame:
     return stem_dictionary(headline_tokens(spark, folder, labelled=False), "tokens")
 
 
+@query("extended_stems")
+def extended_stems(spark: SparkSession, folder: str) -> DataFrame:
+    """Every term in use with its count and its stem by the extended variant."""
+    return stem_dictionary(headline_tokens(spark, folder, labelled=False), "tokens", "extended")
+
+
 @query(
     "bigrams",
     sql_with(ALL_TOKENS)
@@ -377,20 +384,25 @@ def lexicon_test_report(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(report, "precision", "recall", "f1")
 
 
-@query(
-    "side_by_side_rule",
-    sql_with(TOKENS + " lexicon", FEATURES_SQL, sql_split("tokens", "id", "label"), TERMS_SQL)
-    + """
-    SELECT p.id, p.label, round(f.score, 6) AS score, f.indicator,
-           CASE WHEN f.score > 0.0::double OR f.indicator >= 40 THEN 1 ELSE 0 END AS rule_prediction,
-           p.label = CASE WHEN f.score > 0.0::double OR f.indicator >= 40 THEN 1 ELSE 0 END AS rule_correct,
-           t.top_terms
-    FROM placed p JOIN features f USING (id)
-    LEFT JOIN (SELECT id, string_agg(term, '|' ORDER BY rn) AS top_terms
-               FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(weight, 9) DESC, term) AS rn
-                     FROM weights) WHERE rn <= 5 GROUP BY id) t USING (id)
-    WHERE p.split = 'test'""",
+SIDE_BY_SIDE_SQL = (
+    sql_with("lexicon").removeprefix("WITH")
+    + ",\n"
+    + FEATURES_SQL.strip()
+    + """,
+    side_by_side AS (
+      SELECT p.id, p.label, round(f.score, 6) AS score, f.indicator,
+             CASE WHEN f.score > 0.0::double OR f.indicator >= 40 THEN 1 ELSE 0 END AS rule_prediction,
+             p.label = CASE WHEN f.score > 0.0::double OR f.indicator >= 40 THEN 1 ELSE 0 END AS rule_correct,
+             t.top_terms
+      FROM placed p JOIN features f USING (id)
+      LEFT JOIN (SELECT id, string_agg(term, '|' ORDER BY rn) AS top_terms
+                 FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(weight, 9) DESC, term) AS rn
+                       FROM weights) WHERE rn <= 5 GROUP BY id) t USING (id)
+      WHERE p.split = 'test')"""
 )
+
+
+@query("side_by_side_rule", TFIDF + ",\n" + SIDE_BY_SIDE_SQL + " SELECT * FROM side_by_side")
 def side_by_side_rule(spark: SparkSession, folder: str) -> DataFrame:
     """Per test document: rule inputs, rule label, correctness and heaviest terms."""
     rows = term_arrays(spark, folder)
@@ -407,3 +419,22 @@ def side_by_side_rule(spark: SparkSession, folder: str) -> DataFrame:
             F.col("prediction").alias("rule_prediction"), F.col("correct").alias("rule_correct"), "top_terms",
         )
     )
+
+
+@query(
+    "headline_roundtrip",
+    sql_with("texts")
+    + """,
+    rows AS (SELECT text, label, md5(concat_ws('|', coalesce(cast(label AS varchar), ''),
+                                               CASE WHEN text IS NULL THEN '0' ELSE '1' END, text)) AS mark
+             FROM headlines)
+    SELECT mark || '-' || (row_number() OVER (PARTITION BY mark) - 1) AS id, text, label FROM rows""",
+)
+def headline_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """All texts through a CSV file with quotes and line breaks inside fields, and their ids by content."""
+    path = new_folder(spark, "headlines-csv")
+    rows = standins.headlines(spark, folder, labelled=False)
+    rows.select(F.col("text").alias("news_headline"), F.col("label").cast("int").alias("is_sarcastic")).write.options(
+        header=True, quote='"', escape='"'
+    ).csv(path)
+    return read_headlines(spark, path, many_lines=True)

@@ -58,3 +58,14 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``settle`` wrote, when no plan will read it again."""
+    spark = table.sparkSession
+    folders = {name.rsplit("/", 1)[0] for name in table.inputFiles()}
+    for folder in folders:
+        if f"/{spark.sparkContext.applicationId}/" not in folder:
+            raise ValueError(f"{folder} was not written by settle")
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
