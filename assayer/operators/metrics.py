@@ -145,49 +145,107 @@ def class_report(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def auc(df: DataFrame, label: str, score: str) -> DataFrame:
+def score_counts(
+    df: DataFrame, label: str, prediction: str, score: str, by: Sequence[str] = ()
+) -> DataFrame:
+    """Rows per (score, label, prediction) within ``by``: all that any of the metrics needs, from one aggregation."""
+    return df.groupBy(
+        *by,
+        F.col(score).cast("double").alias("score"),
+        F.col(label).cast("int").alias("label"),
+        F.col(prediction).cast("int").alias("prediction"),
+    ).agg(F.count("*").alias("n"))
+
+
+def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Exact area under ROC as a rank sum with ties at half; null with one class only.
 
-    Rows collapse to one per distinct score, which a range shuffle cuts into slices
-    of rising scores. Slice totals tell each slice how many negatives lie below it,
-    so scores are sorted within slices only. The slice number is stored with the
+    With ``by`` one row per group, all groups at once; a group without a scored and labelled row has none.
+    """
+    pairs = df.select(*by, F.col(label).alias("label"), F.col(score).alias("score"), F.lit(1).alias("n"))
+    return auc_of_counts(pairs, by)
+
+
+def auc_of_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``auc`` from rows ``(*by, label, score, n)`` that each stand for ``n`` rows.
+
+    Rows collapse to one per distinct score of a group, which a range shuffle cuts into slices
+    of rising scores. Totals per slice and group tell each slice how many negatives lie below it,
+    so scores are sorted within slices only and no group needs to fit in one. The slice number is stored with the
     points: a range shuffle run twice could cut elsewhere.
     """
-    positive = (F.col(label).cast("int") == 1).cast("bigint")
+    positive = F.when(F.col("label").cast("int") == 1, F.col("n")).otherwise(0)
     points = settle(
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("score"))
-        .agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
-        .repartitionByRange("score")
+        counts.where(F.col("score").isNotNull() & F.col("label").isNotNull())
+        .groupBy(*by, F.col("score").cast("double").alias("score"))
+        .agg(F.sum(positive).alias("pos"), F.sum(F.col("n") - positive).alias("neg"))
+        .repartitionByRange(*by, "score")
         .withColumn("slice", F.spark_partition_id()),
         "auc-points",
     )
-    below = W.partitionBy("slice").orderBy("score").rowsBetween(W.unboundedPreceding, -1)
+    below = W.partitionBy("slice", *by).orderBy("score").rowsBetween(W.unboundedPreceding, -1)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     per_slice = (
         points.withColumn("neg_below", F.coalesce(F.sum(neg).over(below), F.lit(0.0)))
-        .groupBy("slice")
+        .groupBy("slice", *by)
         .agg(
             F.sum(pos).alias("pos"),
             F.sum(neg).alias("neg"),
             F.sum(pos * (F.col("neg_below") + neg / 2.0)).alias("within"),
         )
     )
-    # One row per slice, at most spark.sql.shuffle.partitions of them, meets this window.
-    lower = W.partitionBy(F.lit(0)).orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    # One row per slice of a group, at most spark.sql.shuffle.partitions of them, meets this window.
+    lower = W.partitionBy(*(by or [F.lit(0)])).orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     wins = F.sum(F.col("within") + F.col("pos") * F.col("lower"))
     pairs = F.sum("pos") * F.sum("neg")
-    return per_slice.withColumn("lower", F.coalesce(F.sum("neg").over(lower), F.lit(0.0))).agg(
-        (wins / F.nullif(pairs, F.lit(0.0))).alias("auc")
+    return (
+        per_slice.withColumn("lower", F.coalesce(F.sum("neg").over(lower), F.lit(0.0)))
+        .groupBy(*by)
+        .agg((wins / F.nullif(pairs, F.lit(0.0))).alias("auc"))
     )
 
 
+def stacked(df: DataFrame, label: str, scored: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """``(model, label, prediction, score)``: one row per row and model, from one pass over ``df``.
+
+    ``scored`` maps a model's name to its prediction and its score.
+    """
+    said = [
+        F.struct(
+            F.lit(name).alias("model"),
+            F.col(label).alias("label"),
+            prediction.cast("int").alias("prediction"),
+            score.cast("double").alias("score"),
+        )
+        for name, (prediction, score) in scored.items()
+    ]
+    return df.select(F.inline(F.array(*said)))
+
+
+def evaluate_models(rows: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+    """Per model accuracy, AUC and weighted F1, precision and recall of ``(model, label, prediction, score)``.
+
+    The rows are read once, into counts that are stored; confusion and AUC of all models come from these.
+    ``order`` numbers the models in a column ``position``; a model that is not in it has a null there, one
+    without rows has no row.
+    """
+    counts = settle(score_counts(rows, "label", "prediction", "score", ["model"]), "score-counts")
+    cells = counts.groupBy("model", "label", "prediction").agg(F.sum("n").alias("n"))
+    areas = auc_of_counts(counts, ["model"])
+    table = weighted_scores(cells, ["model"]).join(areas, "model", "left")
+    table = table.select("model", "accuracy", "auc", "f1", "precision", "recall")
+    if order is None:
+        return table
+    places = F.create_map(*[F.lit(x) for i, name in enumerate(order) for x in (name, i)])
+    return table.withColumn("position", F.element_at(places, F.col("model")))
+
+
 def evaluate(df: DataFrame, name: str, label: str, prediction: str, score: str) -> DataFrame:
-    """One row: accuracy, AUC and weighted F1, precision and recall of scored rows."""
-    area = auc(df, label, score).scalar()
-    return weighted_scores(confusion(df, label, prediction)).select(
-        F.lit(name).alias("model"), "accuracy", area.alias("auc"), "f1", "precision", "recall"
-    )
+    """One row: accuracy, AUC and weighted F1, precision and recall of scored rows, which are read once.
+
+    No rows give no row.
+    """
+    return evaluate_models(stacked(df, label, {name: (F.col(prediction), F.col(score))}))
 
 
 def compare(evaluations: Sequence[DataFrame]) -> DataFrame:

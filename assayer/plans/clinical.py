@@ -222,12 +222,8 @@ def label_encode(spark: SparkSession, folder: str) -> DataFrame:
     return coded.groupBy("source", "label_code").agg(F.count("*").alias("n"))
 
 
-# Three classes, one rule over order lines that sometimes misses: the metric queries' input.
-SCORED_SQL = """
-        scored AS (
-          SELECT id, outcome + CASE WHEN pregnancies = 7 THEN 1 ELSE 0 END AS label,
-                 CASE WHEN price > 70000 THEN 2 WHEN price > 47250 THEN 1 ELSE 0 END AS prediction
-          FROM clinical),
+# Scores of the classes of ``scored(label, prediction)``.
+PRF_SQL = """
         counts AS (SELECT label, prediction, count(*) AS n FROM scored GROUP BY ALL),
         classes AS (
           SELECT c AS class,
@@ -242,6 +238,13 @@ SCORED_SQL = """
                  coalesce(tp::double / nullif(support, 0), 0) AS r,
                  coalesce(2.0::double * tp / nullif(predicted + support, 0), 0) AS f
           FROM classes)"""
+# Three classes, one rule over order lines that sometimes misses: the metric queries' input.
+SCORED_SQL = """
+        scored AS (
+          SELECT id, outcome + CASE WHEN pregnancies = 7 THEN 1 ELSE 0 END AS label,
+                 CASE WHEN price > 70000 THEN 2 WHEN price > 47250 THEN 1 ELSE 0 END AS prediction
+          FROM clinical),
+        """ + PRF_SQL.strip()
 
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
@@ -325,10 +328,7 @@ def binary_prf(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metrics.binary_scores(scored_counts(spark, folder)), *PRF)
 
 
-@query(
-    "class_report",
-    sql_with("clinical", SCORED_SQL)
-    + """
+REPORT_SQL = """
     SELECT cast(class AS varchar) AS class, round(p, 6) AS precision, round(r, 6) AS recall,
            round(f, 6) AS f1, cast(support AS bigint) AS support FROM prf
     UNION ALL
@@ -338,8 +338,10 @@ def binary_prf(spark: SparkSession, folder: str) -> DataFrame:
     SELECT 'macro avg', round(avg(p), 6), round(avg(r), 6), round(avg(f), 6), cast(sum(support) AS bigint) FROM prf
     UNION ALL
     SELECT 'weighted avg', round(sum(p * support) / sum(support), 6), round(sum(r * support) / sum(support), 6),
-           round(sum(f * support) / sum(support), 6), cast(sum(support) AS bigint) FROM prf""",
-)
+           round(sum(f * support) / sum(support), 6), cast(sum(support) AS bigint) FROM prf"""
+
+
+@query("class_report", sql_with("clinical", SCORED_SQL) + REPORT_SQL)
 def class_report(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metrics.class_report(scored_counts(spark, folder)), "precision", "recall", "f1")
 
@@ -400,16 +402,9 @@ def _comparison_sql() -> str:
 
 
 def rule_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    rows = clinical(spark, folder)
-    return metrics.compare(
-        [
-            metrics.evaluate(
-                rows.withColumn("prediction", F.when(F.col(c) > t, 1).otherwise(0)),
-                f"rule_{c}", "outcome", "prediction", c,
-            )
-            for c, t in RULES.items()
-        ]
-    )
+    scored = {f"rule_{c}": (F.when(F.col(c) > t, 1).otherwise(0), F.col(c)) for c, t in RULES.items()}
+    rows = metrics.stacked(clinical(spark, folder), "outcome", scored)
+    return metrics.evaluate_models(rows, list(scored))
 
 
 FIVE = ("accuracy", "auc", "f1", "precision", "recall")
@@ -417,7 +412,7 @@ FIVE = ("accuracy", "auc", "f1", "precision", "recall")
 
 @query("model_comparison", _comparison_sql())
 def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    """Five metrics per rule, each from one pass over the scored rows."""
+    """Five metrics of each rule, all rules from one pass over the rows."""
     return rounded(rule_comparison(spark, folder), *FIVE)
 
 

@@ -103,3 +103,38 @@ def test_evaluate_one_row(spark):
     )
     row = metrics.evaluate(df, "m", "label", "prediction", "score").first()
     assert row["accuracy"] == 0.5 and math.isclose(row["auc"], 0.75)
+
+
+def test_grouped_auc_equals_one_by_one(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice("abc"), rng.randint(0, 1), rng.choice([0.1, 0.2, 0.2, 0.5, rng.random()])) for _ in range(900)]
+    rows += [("one", 1, 0.3), ("one", 1, 0.4), ("null", None, 0.1), ("null", 1, None)]
+    df = spark.createDataFrame(rows, "model string, label int, score double").repartition(7)
+    got = {r["model"]: r["auc"] for r in metrics.auc(df, "label", "score", ["model"]).collect()}
+    assert got.keys() == {"a", "b", "c", "one"} and got["one"] is None
+    for name in "abc":
+        one = metrics.auc(df.where(F.col("model") == name), "label", "score").first()["auc"]
+        assert got[name] == pytest.approx(one)
+        pos = [s for m, y, s in rows if m == name and y == 1]
+        neg = [s for m, y, s in rows if m == name and y == 0]
+        wins = sum((p > n) + (p == n) / 2 for p in pos for n in neg)
+        assert got[name] == pytest.approx(wins / (len(pos) * len(neg)))
+
+
+def test_models_are_compared_in_one_scan(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(500).select((F.col("id") % 2).alias("label"), F.rand(1).alias("x"), F.rand(2).alias("y")).write.parquet(path)
+    df = spark.read.parquet(path)
+    scored = {c: ((F.col(c) > 0.5).cast("int"), F.col(c)) for c in ("x", "y")}
+    rows = metrics.stacked(df, "label", scored)
+    plan = metrics.score_counts(rows, "label", "prediction", "score", ["model"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    table = metrics.evaluate_models(rows, ["y", "x"])
+    # what is read afterwards is the stored counts, not the rows
+    assert not any(path in name for name in table.inputFiles())
+    got = {r["model"]: r for r in table.collect()}
+    assert (got["y"]["position"], got["x"]["position"]) == (0, 1)
+    for c in ("x", "y"):
+        one = metrics.evaluate(df.select("label", scored[c][0].alias("p"), c), c, "label", "p", c).first()
+        for name in ("accuracy", "auc", "f1", "precision", "recall"):
+            assert got[c][name] == pytest.approx(one[name])
