@@ -4,9 +4,15 @@ import random
 
 import pytest
 
-from assayer.sources.tables import PREDICTORS, read_csv, read_headlines, stream_csv
-from assayer.sources.versions import ModelStore
+from pyspark.sql import functions as F
+
+from assayer.operators.impute import impute
+from assayer.operators.vectors import assemble
+from assayer.plans.streams import BATCH_BYTES, collected, sliced_stream
+from assayer.sources.tables import PREDICTORS, SENTINEL_COLUMNS, read_csv, read_headlines, stream_csv
+from assayer.sources.versions import PROMOTED, RECORD, ModelStore
 from assayer.streaming.retrain import Retrainer, drain, start
+from assayer.streaming.scorer import Scorer
 
 HEADER = ",".join([*PREDICTORS, "Outcome"])
 
@@ -90,3 +96,119 @@ def test_headline_quotes(spark, tmp_path):
     rows = read_headlines(spark, str(tmp_path / "h.csv")).collect()
     assert sorted((r["text"], r["label"]) for r in rows) == [('a "b", c', 1), ("plain", 0)]
     assert len({r["id"] for r in rows}) == 2
+
+
+class CountedFiles:
+    """Passes calls on and counts them by name."""
+
+    def __init__(self, files):
+        self.files, self.calls = files, []
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls.append(name)
+            return getattr(self.files, name)(*args)
+
+        return call
+
+
+def blank(spark, status=PROMOTED):
+    names = [c.split() for c in RECORD.split(", ")]
+    return spark.range(1).select(*[F.lit(status if n == "status" else None).cast(t).alias(n) for n, t in names])
+
+
+def test_a_batch_costs_the_same_however_old_the_stream(spark, tmp_path):
+    store = ModelStore(spark, str(tmp_path / "store"), span=4)
+    store.files = CountedFiles(store.files)
+    costs = []
+    for batch_id in range(18):
+        store.files.calls.clear()
+        assert not store.has_record(batch_id)
+        store.record(blank(spark), batch_id, promoted=True)
+        costs.append(len(store.files.calls))
+    plain = [c for i, c in enumerate(costs) if (i + 1) % 4 and i > 2]
+    compacting = [c for i, c in enumerate(costs) if not (i + 1) % 4]
+    assert len(set(plain)) == 1 and len(set(compacting)) == 1
+    assert store.pointer().models == [17, 16] and store.pointer().compacted == 4
+    assert sorted(r["batch_id"] for r in store.records().collect()) == list(range(18))
+    folders = {f.name for f in (tmp_path / "store" / "records" / "recent").iterdir()}
+    assert folders == {"batch_id=16", "batch_id=17"}
+
+
+def test_a_crash_before_the_pointer_moves_is_replayed(spark, tmp_path, monkeypatch):
+    store = ModelStore(spark, str(tmp_path / "store"), span=2)
+    store.record(blank(spark), 0, promoted=True)
+    monkeypatch.setattr(store, "_point", lambda at: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        store.record(blank(spark, "empty"), 1)
+    monkeypatch.undo()
+    assert not store.has_record(1) and store.promoted() == [0]
+    assert [r["batch_id"] for r in store.records().collect()] == [0]
+    store.record(blank(spark, "empty"), 1)
+    again = ModelStore(spark, str(tmp_path / "store"), span=2)
+    assert again.has_record(1) and again.pointer().compacted == 1
+    assert sorted((r["batch_id"], r["status"]) for r in again.records().collect()) == [(0, PROMOTED), (1, "empty")]
+
+
+def test_scores_follow_the_pointer(spark, tmp_path, incoming):
+    store = ModelStore(spark, str(tmp_path / "store"))
+    prepare = lambda batch: assemble(impute(batch, SENTINEL_COLUMNS), PREDICTORS)
+    scorer = Scorer(store, str(tmp_path / "scored"), prepare, ["Glucose"])
+
+    def score():
+        drain(start(stream_csv(spark, str(incoming)), scorer, str(tmp_path / "score-progress")), 300)
+
+    write(incoming, "0.csv", 50, seed=1)
+    score()  # before there is a model
+    run(spark, incoming, tmp_path, store)
+    write(incoming, "1.csv", 60, seed=2)
+    score()
+    write(incoming, "2.csv", 40, one_class=True)
+    run(spark, incoming, tmp_path, store)  # trains on 1.csv, records 2.csv without a model
+    score()
+    rows = spark.read.parquet(str(tmp_path / "scored")).collect()
+    stamps = {(r["batch_id"], r["model_batch"]) for r in rows}
+    assert len(rows) == 150 and {s for b, s in stamps if b == 0} == {None} and {s for b, s in stamps if b == 1} == {0}
+    assert {s for b, s in stamps if b == 2} == {store.promoted()[0]} and scorer.loads == 2
+    assert all((r["score"] is None) == (r["model_batch"] is None) for r in rows)
+    # a batch that comes again replaces its rows
+    scorer(read_csv(spark, str(incoming / "0.csv")), 0)
+    assert spark.read.parquet(str(tmp_path / "scored")).count() == 150
+
+
+def test_small_files_share_a_batch(spark, tmp_path, incoming):
+    for i in range(6):
+        write(incoming, f"{i}.csv", 30, seed=i)
+    size = max(f.stat().st_size for f in incoming.iterdir())
+    seen = []
+
+    def on_batch(batch, _):
+        seen.append([r["n"] for r in batch.groupBy("file").agg(F.count("*").alias("n")).collect()])
+
+    stream = stream_csv(spark, str(incoming), bytes_per_batch=3 * size, file_column="file")
+    drain(start(stream, on_batch, str(tmp_path / "p")), 120)
+    assert 1 < len(seen) < 6 and sorted(n for batch in seen for n in batch) == [30] * 6
+
+
+def test_the_sliced_query_has_fewer_batches_than_files(spark, small):
+    stream, files = sliced_stream(spark, small)
+    out = collected(spark, stream, lambda batch: batch.groupBy("file").agg(F.count("*").alias("n")))
+    row = out.agg(F.count_distinct("batch_id").alias("batches"), F.count("*").alias("files")).first()
+    assert row["batches"] < row["files"] == files and BATCH_BYTES > 0
+
+
+def test_headline_ids_follow_content(spark, tmp_path):
+    texts = [("a", 1), ("a", 1), ("a", 0), (None, 1), ("", 1), ('say ""x""\nagain, "y"', 0), ("a", None), ("1|a", None)]
+    texts += [("same", 1)] * 50
+    df = spark.createDataFrame(texts, "news_headline string, is_sarcastic int")
+    ids = []
+    for parts in (1, 5):
+        path = str(tmp_path / f"cut{parts}")
+        df.repartition(parts).write.options(header=True, escape='"').csv(path)
+        rows = read_headlines(spark, path, many_lines=True).collect()
+        assert sorted((str(r["text"]), str(r["label"])) for r in rows) == sorted((str(t), str(n)) for t, n in texts)
+        ids.append(sorted((r["id"], str(r["text"])) for r in rows))
+        assert len({i for i, _ in ids[-1]}) == len(texts)
+    assert ids[0] == ids[1]
+    same = sorted(int(i.split("-")[1]) for i, t in ids[0] if t == "same")
+    assert same == list(range(50))
