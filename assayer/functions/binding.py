@@ -13,4 +13,4 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
     Plain substitution would copy ``value`` to every place ``body`` uses it.
     """
-    return F.get(F.transform(F.array(value), body), 0)
+    return F.get(F.transform(F.array(value), lambda named: body(named)), 0)

@@ -1,5 +1,9 @@
-"""The stemmer of M. F. Porter, "An algorithm for suffix stripping" (1980), with the
-author's later amendments (``bli`` and ``logi``), as one column expression.
+"""The stemmer of M. F. Porter, "An algorithm for suffix stripping" (1980), as one column expression.
+
+``paper`` has the author's later amendments (``bli`` and ``logi``). ``extended`` is the variant that natural language
+toolkits use by default: short words in -ies and -ied keep their e (``dies`` to ``die``), a final y turns only after a
+consonant (``enjoy`` stays), the second table knows ``fulli``, reads ``logi`` with its l and takes up again what
+``alli`` leaves, and a few irregular words are listed.
 """
 
 from __future__ import annotations
@@ -26,6 +30,14 @@ STEP_4 = [
     "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 ]
 
+# Irregular words of the extended variant.
+IRREGULAR = {
+    "skies": "sky", "sky": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
+    "innings": "inning", "inning": "inning", "outings": "outing", "outing": "outing",
+    "cannings": "canning", "canning": "canning", "howe": "howe",
+    "proceed": "proceed", "exceed": "exceed", "succeed": "succeed",
+}
+
 # A leading y is a consonant, elsewhere y is one only after a vowel.
 CONSONANTS = "(?:^y|[^aeiouy]|(?<=[aeiou])y)"
 VOWELS = "(?:[aeiou]|(?<!^)(?<![aeiou])y)"
@@ -33,6 +45,7 @@ HAS_VOWEL = f"{VOWELS}"
 MEASURE_OVER_0 = f"{VOWELS}{CONSONANTS}"
 MEASURE_OVER_1 = f"{VOWELS}{CONSONANTS}.*{VOWELS}{CONSONANTS}"
 SHORT_END = "(?:^y|[^aeiouy])[aeiouy][^aeiouwxy]$"
+EXTENDED_SHORT_END = f"{SHORT_END}|^[aeiou][^aeiou]$"  # a vowel and a consonant are short too
 
 
 def before(word: Column, suffix: str) -> Column:
@@ -59,11 +72,11 @@ def step_1a(word: Column) -> Column:
     return strip_suffix(word, {"sses": "ss", "ies": "i", "ss": "ss", "s": ""}, lambda *_: F.lit(True))
 
 
-def after_removal(stem: Column) -> Column:
+def after_removal(stem: Column, short_end: str = SHORT_END) -> Column:
     """Tidy a stem that lost ``ed`` or ``ing``."""
     last, previous = F.substring(stem, -1, 1), F.substring(stem, -2, 1)
     double = (F.length(stem) > 1) & (last == previous) & last.rlike("[^aeiouylsz]")
-    short = stem.rlike(MEASURE_OVER_0) & ~stem.rlike(MEASURE_OVER_1) & stem.rlike(SHORT_END)
+    short = stem.rlike(MEASURE_OVER_0) & ~stem.rlike(MEASURE_OVER_1) & stem.rlike(short_end)
     return (
         F.when(stem.rlike("(?:at|bl|iz)$"), F.concat(stem, F.lit("e")))
         .when(double, before(stem, "x"))
@@ -72,11 +85,11 @@ def after_removal(stem: Column) -> Column:
     )
 
 
-def step_1b(word: Column) -> Column:
+def step_1b(word: Column, short_end: str = SHORT_END) -> Column:
     def shorten(suffix: str) -> Column:
         return bind(
             before(word, suffix),
-            lambda stem: F.when(stem.rlike(HAS_VOWEL), after_removal(stem)).otherwise(word),
+            lambda stem: F.when(stem.rlike(HAS_VOWEL), after_removal(stem, short_end)).otherwise(word),
         )
 
     deep = before(word, "eed").rlike(MEASURE_OVER_0)
@@ -101,9 +114,9 @@ def step_4(word: Column) -> Column:
     return strip_suffix(word, dict.fromkeys(STEP_4, ""), droppable)
 
 
-def step_5a(word: Column) -> Column:
+def step_5a(word: Column, short_end: str = SHORT_END) -> Column:
     stem = before(word, "e")
-    drop = stem.rlike(MEASURE_OVER_1) | (stem.rlike(MEASURE_OVER_0) & ~stem.rlike(SHORT_END))
+    drop = stem.rlike(MEASURE_OVER_1) | (stem.rlike(MEASURE_OVER_0) & ~stem.rlike(short_end))
     return F.when(word.endswith("e") & drop, stem).otherwise(word)
 
 
@@ -111,6 +124,42 @@ def step_5b(word: Column) -> Column:
     return F.when(word.endswith("ll") & word.rlike(MEASURE_OVER_1), before(word, "l")).otherwise(word)
 
 
+def extended_1a(word: Column) -> Column:
+    """A word of four letters in -ies loses its s only."""
+    short = word.endswith("ies") & (F.length(word) == 4)
+    return F.when(short, before(word, "s")).otherwise(step_1a(word))
+
+
+def extended_1b(word: Column) -> Column:
+    """-ied becomes -ie in a word of four letters and -i in others."""
+    cut = F.when(F.length(word) == 4, before(word, "d")).otherwise(before(word, "ed"))
+    return F.when(word.endswith("ied"), cut).otherwise(step_1b(word, EXTENDED_SHORT_END))
+
+
+def extended_1c(word: Column) -> Column:
+    """A final y turns after a consonant that is not the word's first letter."""
+    stem = before(word, "y")
+    turns = word.endswith("y") & (F.length(stem) > 1) & stem.rlike(f"{CONSONANTS}$")
+    return F.when(turns, F.concat(stem, F.lit("i"))).otherwise(word)
+
+
+EXTENDED_2 = {**STEP_2, "fulli": "ful"}
+
+
+def extended_2(word: Column) -> Column:
+    """The second table; what is left of -alli goes through it once more."""
+
+    def deep(suffix: str, stem: Column) -> Column:
+        # the l of -logi counts towards the stem
+        measured = F.concat(stem, F.lit("l")) if suffix == "logi" else stem
+        return measured.rlike(MEASURE_OVER_0)
+
+    once = lambda w: strip_suffix(w, EXTENDED_2, deep)
+    left = F.concat(before(word, "alli"), F.lit("al"))
+    again = word.endswith("alli") & before(word, "alli").rlike(MEASURE_OVER_0)
+    return F.when(again, bind(left, once)).otherwise(once(word))
+
+
 STEPS = (
     step_1a,
     step_1b,
@@ -123,9 +172,28 @@ STEPS = (
 )
 
 
-def porter_stem(term: Column) -> Column:
+EXTENDED_STEPS = (
+    extended_1a,
+    extended_1b,
+    extended_1c,
+    extended_2,
+    STEPS[4],
+    step_4,
+    lambda word: step_5a(word, EXTENDED_SHORT_END),
+    step_5b,
+)
+VARIANTS = {"paper": STEPS, "extended": EXTENDED_STEPS}
+
+
+def porter_stem(term: Column, variant: str = "paper") -> Column:
     """Stem of a lower-case word; words of one or two letters stay."""
+    if variant not in VARIANTS:
+        raise ValueError(f"unknown variant {variant!r}")
     stem = term
-    for step in STEPS:
+    for step in VARIANTS[variant]:
         stem = bind(stem, step)
-    return F.when(F.length(term) <= 2, term).otherwise(stem)
+    kept = F.when(F.length(term) <= 2, term)
+    if variant == "extended":
+        for word, root in IRREGULAR.items():
+            kept = kept.when(term == word, F.lit(root))
+    return kept.otherwise(stem)

@@ -17,6 +17,15 @@ from pyspark.sql import types as T
 from assayer.functions.fixed_values import COLOUR_BANDS, IMAGE_SIDE
 
 IMAGE_COLUMNS = ["height", "width", "channels", "data"]
+OUTPUT_BYTES = 16 * 1024 * 1024  # pixels or vectors that a task hands on at once
+
+
+def slices(batches: Iterator[pd.DataFrame], row_bytes: int) -> Iterator[pd.DataFrame]:
+    """The rows of the batches in pieces whose output, at ``row_bytes`` a row, keeps to ``OUTPUT_BYTES``."""
+    rows = max(1, OUTPUT_BYTES // row_bytes)
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.iloc[start : start + rows]
 
 
 def as_rgb(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
@@ -67,7 +76,7 @@ def resize_images(images: DataFrame, carry: Sequence[str], side: int = IMAGE_SID
     schema = T.StructType([kept.schema[c] for c in carry] + [T.StructField("rgb", T.BinaryType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in slices(batches, side * side * 3):
             cells = zip(batch["data"], batch["height"], batch["width"], batch["channels"])
             rgb = [resize(as_rgb(*cell), side).tobytes() for cell in cells]
             yield batch[list(carry)].assign(rgb=rgb)
@@ -87,7 +96,7 @@ def image_features(
         fields.append(T.StructField("features", T.ArrayType(T.FloatType())))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in slices(batches, side * side * 3 * 4):
             pixels = [np.frombuffer(b, dtype=np.uint8).reshape(side, side, 3) for b in batch["rgb"]]
             ratios = pd.DataFrame([band_ratios(p) for p in pixels], columns=ratio_names, index=batch.index)
             out = pd.concat([batch[list(carry)], ratios], axis=1)

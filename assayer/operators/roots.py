@@ -10,9 +10,9 @@ from assayer.operators.tokens import term_totals
 from assayer.session import settle
 
 
-def stem_dictionary(df: DataFrame, tokens: str) -> DataFrame:
-    """``(term, root, n)`` with the stems of all terms in use."""
-    stems = term_totals(df, tokens).withColumn("root", porter_stem(F.col("term")))
+def stem_dictionary(df: DataFrame, tokens: str, variant: str = "paper") -> DataFrame:
+    """``(term, root, n)`` with the stems of all terms in use, by the named variant of the stemmer."""
+    stems = term_totals(df, tokens).withColumn("root", porter_stem(F.col("term"), variant))
     return settle(stems.select("term", "root", "n"), "stems")
 
 

@@ -9,7 +9,7 @@ from assayer.functions.fixed_values import COLOUR_THRESHOLDS
 from assayer.operators import colour, metrics, sweep
 from assayer.operators.images import image_features, pixel_rows, resize_images
 from assayer.operators.split import stratified_split
-from assayer.operators.vectors import fit_scaler, pixel_vectors, scale
+from assayer.operators.vectors import fit_scaler, pixel_vectors, scale, with_class_codes
 from assayer.plans.image_files import leaf_image_folder
 from assayer.plans.standins import leaves, pixels, sql_split, sql_with, vectors
 from assayer.session import settle
@@ -274,3 +274,42 @@ def image_colour_ratios(spark: SparkSession, folder: str) -> DataFrame:
     """Ratios straight from image rows, one image per row and no shuffle."""
     resized = resize_images(readable(scanned(spark, folder)), ["image_id"], 8)
     return rounded(image_features(resized, ["image_id"], 8, vectors=False), *RATIOS)
+
+
+# The network's numbers are of single precision.
+@query(
+    "image_vectors",
+    SQL["pixel_vector"].replace("round(value, 6)", "round(cast(cast(value AS float) AS double), 6)"),
+)
+def image_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """The vectors that the network reads, straight from image rows, unrolled for comparison."""
+    resized = resize_images(readable(scanned(spark, folder)), ["image_id"], 8)
+    flat = image_features(resized, ["image_id"], 8).select("image_id", F.posexplode("features").alias("pos", "value"))
+    return rounded(flat.withColumn("value", F.col("value").cast("double")), "value")
+
+
+CLASSES = ["class_0", "class_1", "class_2"]
+
+
+@query(
+    "image_side_by_side",
+    _sweep_sql()
+    + f""",
+    best AS (SELECT min_brown, min_dark FROM points ORDER BY round(f1, 12) DESC, grid_pos LIMIT 1),
+    ruled AS (SELECT image_id, label, {", ".join(RATIOS)},
+                     CASE WHEN dark_ratio >= min_dark THEN 1 WHEN brown_ratio >= min_brown THEN 0 ELSE 2 END AS prediction
+              FROM placed, best WHERE split = 'test')
+    SELECT image_id, 'class_' || label AS class, cast(label AS int) AS label, {SHOW_RATIOS}, prediction,
+           label = prediction AS correct
+    FROM ruled""",
+)
+def image_side_by_side(spark: SparkSession, folder: str) -> DataFrame:
+    """From image files to the rule's verdict on each test image, at the thresholds chosen on validation images."""
+    resized = resize_images(readable(scanned(spark, folder)), ["image_id", "class"], 8)
+    featured = settle(image_features(resized, ["image_id", "class"], 8, vectors=False), "image-features")
+    placed = stratified_split(with_class_codes(featured, "class", CLASSES), "image_id", "label")
+    counts = colour.sweep_colours(placed.where(F.col("split") == "val"), "label")
+    best = sweep.best_point(metrics.macro_scores(counts, by=POINT)).first()
+    test = placed.where(F.col("split") == "test")
+    ruled = colour.with_colour_rule(test, best["min_brown"], best["min_dark"], "label")
+    return rounded(ruled.select("image_id", "class", "label", *RATIOS, "prediction", "correct"), *RATIOS)

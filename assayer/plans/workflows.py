@@ -16,10 +16,10 @@ from assayer.operators import lexicon as lex
 from assayer.operators.images import image_features, resize_images
 from assayer.operators.impute import fill_sentinels, sentinel_means
 from assayer.operators.roots import stem_dictionary
-from assayer.operators.split import random_split, stratified_split, with_folds
+from assayer.operators.split import hash_split, stratified_split, with_folds
 from assayer.operators.tfidf import fit_vocabulary, tfidf, top_term_lists
 from assayer.operators.tokens import replace_terms, with_tokens
-from assayer.operators.vectors import assemble, fit_scaler, scale, with_label_codes
+from assayer.operators.vectors import assemble, fit_scaler, scale, with_class_codes
 from assayer.session import settle
 from assayer.sources.images import readable, scan_images
 from assayer.sources.tables import (
@@ -55,7 +55,7 @@ def compare_clinical_models(
     folds: int = fixed.FOLDS,
     seed: int = fixed.SEED,
     fit_on: str = "all",
-    parallelism: int = 4,
+    parallelism: int = classifiers.PARALLELISM,
 ) -> Comparison:
     """Clinical CSV to the comparison of the tuned classifiers.
 
@@ -63,15 +63,15 @@ def compare_clinical_models(
     row, before the split.
     """
     raw = settle(read_csv(spark, path, CLINICAL_SCHEMA), "clinical")
-    train, test = random_split(raw, seed=seed)
+    # Rows carry no key: the whole row decides its side and its fold, so equal rows stay together.
+    placed = hash_split(raw.withColumn("row_key", F.to_json(F.struct(*PREDICTORS, OUTCOME))), "row_key", seed=seed)
+    train, test = (side(placed, name).drop("split") for name in ("train", "test"))
     means = sentinel_means(train if fit_on == "train" else raw, SENTINEL_COLUMNS)
 
     def ready(rows: DataFrame) -> DataFrame:
         return assemble(fill_sentinels(rows, means, SENTINEL_COLUMNS), PREDICTORS)
 
-    # Rows carry no key: the whole row decides its fold, so equal rows stay together.
-    keyed = ready(train).withColumn("row_key", F.to_json(F.struct(*PREDICTORS, OUTCOME)))
-    folded = with_folds(keyed, "row_key", folds, seed).select("features", OUTCOME, "fold")
+    folded = with_folds(ready(train), "row_key", folds, seed).select("features", OUTCOME, "fold")
     scores, models = classifiers.compare_classifiers(
         folded, ready(test).select("features", OUTCOME), OUTCOME, grids, folds, parallelism
     )
@@ -93,15 +93,18 @@ def compare_headline_methods(
     stop_words: Sequence[str],
     lemmas: DataFrame | None = None,
     match_on: str = "stem",
+    stems: str = "extended",
     epochs: Sequence[int] = fixed.PERCEPTRON_EPOCHS,
     indicator_thresholds: Sequence[int] = fixed.INDICATOR_THRESHOLDS,
-    shards: int | None = None,
+    method: str = "summed",
+    shards: int = perceptron.SHARDS,
     seed: int = fixed.SEED,
 ) -> Comparison:
     """Lexicon rule against TF-IDF and perceptron on ``headlines(id, text, label)``.
 
     ``lexicon(term, kind)`` lists the positive and negative terms; without indicators of
-    its own it gets the built-in ones. ``match_on='surface'`` looks up unstemmed words.
+    its own it gets the built-in ones. ``match_on='surface'`` looks up unstemmed words;
+    ``stems`` names the stemmer's variant.
     ``lemmas(term, root, n)`` comes from ``noun_dictionary`` or ``dictionary_for``.
     """
     spark = headlines.sparkSession
@@ -113,7 +116,7 @@ def compare_headline_methods(
         lexicon = lexicon.unionByName(lex.indicator_lexicon(spark))
     matched = tokens
     if match_on == "stem":
-        matched = replace_terms(tokens, "id", "tokens", stem_dictionary(tokens, "tokens"), carry)
+        matched = replace_terms(tokens, "id", "tokens", stem_dictionary(tokens, "tokens", stems), carry)
     features = settle(lex.lexicon_features(matched, "id", "tokens", lexicon, carry), "features")
     counts = lex.sweep_lexicon(side(features, "val"), "label", indicator_thresholds=indicator_thresholds)
     points = metrics.binary_scores(counts, by=["grid_pos", "min_score", "min_indicators"])
@@ -130,7 +133,7 @@ def compare_headline_methods(
         return settle(tfidf(side(terms, name), "id", "terms", vocabulary), f"weights-{name}")
 
     models = perceptron.fit_perceptron(
-        weights("train"), side(terms, "train"), "id", "label", epochs, shards=shards
+        weights("train"), side(terms, "train"), "id", "label", epochs, method=method, shards=shards
     )
     passes = settle(
         perceptron.sweep_epochs(models, side(terms, "val"), weights("val"), "id", "label"), "epochs"
@@ -169,14 +172,16 @@ def compare_image_methods(
     hidden: Sequence[Sequence[int]] = fixed.HIDDEN_LAYERS,
     max_iter: int = 300,
     seed: int = fixed.SEED,
+    classes: Sequence[str] = fixed.LEAF_CLASSES,
 ) -> Comparison:
     """Colour rule against a network on ``root/<class>/<file>.jpg``.
 
-    The rule knows three leaf classes by their code: early blight, late blight, healthy.
+    ``classes`` names the folders of early blight, late blight and healthy leaves, which the rule knows by their place
+    there. Another folder with images, or none for one of them, raises.
     """
     resized = resize_images(readable(scan_images(spark, root)), ["path", "class"], image_side)
     featured = settle(image_features(resized, ["path", "class"], image_side), "image-features")
-    coded = with_label_codes(featured, "class").withColumnRenamed("label_code", "label")
+    coded = with_class_codes(featured, "class", classes)
     placed = stratified_split(coded, "path", "label", seed=seed)
 
     counts = colour.sweep_colours(side(placed, "val"), "label")
@@ -191,9 +196,8 @@ def compare_image_methods(
     vectors = settle(
         scaled.select("path", "label", "split", array_to_vector("scaled").alias("features")), "vectors"
     )
-    classes = coded.agg(F.max("label")).first()[0] + 1
     layers, network = classifiers.sweep_layers(
-        side(vectors, "train"), side(vectors, "val"), "label", image_side * image_side * 3, classes,
+        side(vectors, "train"), side(vectors, "val"), "label", image_side * image_side * 3, len(classes),
         hidden, max_iter, seed,
     )
     judged = settle(

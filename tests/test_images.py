@@ -3,10 +3,11 @@ from __future__ import annotations
 import colorsys
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from assayer.operators import colour, metrics
+from assayer.operators import colour, images, metrics
 from assayer.operators.images import (
     as_rgb,
     band_ratios,
@@ -15,7 +16,7 @@ from assayer.operators.images import (
     resize,
     resize_images,
 )
-from assayer.operators.vectors import assemble, fit_scaler, scale, with_label_codes
+from assayer.operators.vectors import assemble, fit_scaler, scale, with_class_codes, with_label_codes
 from assayer.plans.image_files import png
 from assayer.sources.images import readable, scan_images, unreadable
 
@@ -112,6 +113,27 @@ def test_label_codes_follow_code_points(spark):
     assert got == {"Potato___Early_blight": 0, "Potato___Late_blight": 1, "Potato___healthy": 2}
 
 
+def test_class_codes_by_name(spark):
+    names = ["Potato___Early_blight", "Potato___Late_blight", "Potato___healthy"]
+    df = spark.createDataFrame([(n,) for n in reversed(names)], "name string")
+    got = {r["name"]: r["label"] for r in with_class_codes(df, "name", names).collect()}
+    assert got == {n: i for i, n in enumerate(names)}
+    with pytest.raises(ValueError, match="absent classes .'Potato___Late_blight'"):
+        with_class_codes(df.where("name <> 'Potato___Late_blight'"), "name", names)
+    with pytest.raises(ValueError, match="unknown classes .'None', 'other'"):
+        with_class_codes(df.unionByName(spark.createDataFrame([("other",), (None,)], "name string")), "name", names)
+
+
+def test_output_is_cut_by_bytes(spark, folder, monkeypatch):
+    rows = readable(scan_images(spark, folder))
+    whole = sorted(map(str, image_features(resize_images(rows, ["path"], 8), ["path"], 8).collect()))
+    monkeypatch.setattr(images, "OUTPUT_BYTES", 300)
+    batches = [pd.DataFrame({"n": range(7)}), pd.DataFrame({"n": range(2)})]
+    assert [len(part) for part in images.slices(iter(batches), 100)] == [3, 3, 1, 2]
+    assert [len(part) for part in images.slices(iter(batches), 1000)] == [1] * 9
+    assert sorted(map(str, image_features(resize_images(rows, ["path"], 8), ["path"], 8).collect())) == whole
+
+
 def test_scaler_uses_population_deviation_and_centres_constants(spark):
     df = spark.createDataFrame([([1.0, 5.0],), ([3.0, 5.0],)], "features array<double>")
     got = [r["scaled"] for r in scale(df, "features", fit_scaler(df, "features")).collect()]

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from assayer.plans.image_files import png
@@ -43,11 +44,25 @@ def test_headlines(spark):
     assert out.tuning["lexicon rule"].count() == 42 and out.tuning["perceptron"].count() == 2
     both = out.rows.collect()
     assert len(both) == 30 and all(r["ml_correct"] and 1 <= len(r["top_terms"]) <= 5 for r in both)
+    # The default call: six numbers of epochs, stopped when they bring nothing more.
+    plain = compare_headline_methods(headlines, lexicon, ["the"])
+    assert plain.tuning["perceptron"].count() == 6
+    assert {r["method"]: r["f1"] for r in plain.scores.collect()}["perceptron"] > 0.9
+    mixed = compare_headline_methods(headlines, lexicon, ["the"], match_on="surface", epochs=[5], method="mixed")
+    assert {r["method"]: r["f1"] for r in mixed.scores.collect()}["perceptron"] == 1.0
     # Stemmed tokens no longer match words that stemming changes.
     stemmed = compare_headline_methods(headlines, lexicon, ["the"], epochs=[5], shards=2)
     assert stemmed.rows.agg(F.sum("positive")).first()[0] < out.rows.agg(F.sum("positive")).first()[0]
 
 
+def test_a_missing_class_folder_raises(spark, tmp_path):
+    for name in ("Potato___Early_blight", "Potato___healthy"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "0.jpg").write_bytes(png(np.full((4, 4, 3), 90, np.uint8)))
+    with pytest.raises(ValueError, match="absent classes"):
+        compare_image_methods(spark, str(tmp_path), image_side=4, hidden=[(4,)], max_iter=5)
+
+
 def test_images(spark, tmp_path):
     rng = np.random.default_rng(1)
     colours = {"Potato___Early_blight": (150, 100, 50), "Potato___Late_blight": (30, 25, 20), "Potato___healthy": (60, 180, 60)}
