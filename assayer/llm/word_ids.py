@@ -7,11 +7,12 @@ in a row. Chunks repeat, so each worker keeps the ids of those it has met (at mo
 from __future__ import annotations
 
 import re
-
-import numpy as np
+import sys
+from array import array
 
 PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,]*)")
 SPECIAL = b"<|"
+assert sys.byteorder == "little" and array("I").itemsize == 4  # ids are little-endian 32-bit numbers
 
 
 def byte_letters() -> dict[int, str]:
@@ -22,9 +23,13 @@ def byte_letters() -> dict[int, str]:
 
 
 class WordIds(dict):
-    """Maps a chunk (UTF-8, ASCII letters in lower case) to its ids as little-endian bytes."""
+    """Maps a chunk (UTF-8, ASCII letters in lower case) to its ids as little-endian bytes.
+
+    It holds the chunks met since it was last full and, in ``older``, those of the filling before; a chunk found there
+    moves back. So what texts use again and again stays, and what occurs once goes, at ``2 * limit`` chunks at most.
+    """
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 250_000):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -32,33 +37,40 @@ class WordIds(dict):
         self.model = self.tokenizer.model
         self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items()})
         self.limit = limit
+        self.older: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def part(self, letters: str) -> bytes:
         """Ids of one run of letters or punctuation marks, which the vocabulary splits no further."""
         found = self.parts.get(letters)
         if found is None:
-            written = letters.encode().decode("latin-1").translate(self.letters)
-            found = np.array([t.id for t in self.model.tokenize(written)], "<u4").tobytes()
-            self.parts[letters] = found
+            # printable ASCII is written as it is
+            written = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.letters)
+            found = self.parts[letters] = array("I", [t.id for t in self.model.tokenize(written)]).tobytes()
         return found
 
     def __missing__(self, chunk: bytes) -> bytes:
-        text = chunk.decode()
-        plain = PLAIN.fullmatch(text)
-        if plain:
-            ids = self.part(plain[1]) + (self.part(plain[2]) if plain[2] else b"")
-        else:
-            encoded = self.tokenizer.encode(text, add_special_tokens=False)
-            ids = np.array(encoded.ids, "<u4").tobytes()
+        ids = self.older.get(chunk)
+        if ids is None:
+            text = chunk.decode()
+            plain = PLAIN.fullmatch(text)
+            if plain:
+                ids = self.part(plain[1]) + (self.part(plain[2]) if plain[2] else b"")
+            else:
+                ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         self[chunk] = ids
         return ids
 
-    def encode(self, text: bytes) -> bytes:
-        """Ids of a whole text; upper case is kept where it tells a special token's name apart."""
+    def make_room(self) -> None:
+        """Start a new filling if this one is full."""
         if len(self) > self.limit:
+            self.older = dict(self)
             self.clear()
             self.parts.clear()
+
+    def encode(self, text: bytes) -> bytes:
+        """Ids of a whole text; upper case is kept where it tells a special token's name apart."""
+        self.make_room()
         chunks = (text if SPECIAL in text else text.lower()).split()
         return b"".join(map(self.__getitem__, chunks))
 
