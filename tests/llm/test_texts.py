@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -108,6 +109,40 @@ def test_base_scores(documents, nothing, monkeypatch):
     assert lm_scoring.score(nothing, train, WORD_FILE).count() == 0
 
 
+def test_windows_hold_every_id_alike():
+    """The end of a text is in as many windows as any other id."""
+    ids = np.arange(100, 140, dtype=np.int32)
+    starts = np.arange(1 - attention.WINDOW, len(ids))
+    rows = np.array([np.frombuffer(r, np.int32) for r in lm_scoring.drawn_windows(ids, starts)])
+    target = rows[:, 1:]
+    assert Counter(target[target >= 0].tolist()) == dict.fromkeys(ids.tolist(), attention.WINDOW)
+    for row in rows:
+        for before, after in zip(row[:-1], row[1:]):
+            assert after < 0 or before == (after - 1 if after > 100 else -1)
+
+
+def test_fitted_model_beats_the_base(spark):
+    """Texts whose words follow from the one before, and end after a certain word: learnt, and better than word counts."""
+    rng = random.Random(12)
+    follows = {w: rng.sample("alpha beta gamma delta omega sigma".split(), 2) for w in "alpha beta gamma delta omega sigma".split()}
+
+    def text():
+        out = ["alpha"]
+        while len(out) < 40 and (len(out) < 5 or out[-1] != "sigma"):
+            out.append(rng.choice(follows[out[-1]]))
+        return " ".join(out)
+
+    docs = spark.createDataFrame([(i, text()) for i in range(600)], "doc_id long, text string")
+    scored = lm_scoring.score(docs, F.col("doc_id") % 5 != 1, WORD_FILE)
+    held_out = scored.where("doc_id % 5 = 1").agg(F.sum("score"), F.sum("base_score"), F.count("*")).first()
+    assert held_out[2] == 120 and held_out[0] > 0.7 * held_out[1]
+    training = docs.where("doc_id % 5 <> 1").select("text")
+    before, target = lm_scoring.sample_windows(training, WORD_FILE, 5000)
+    ids, _ = lm_scoring.encoded([r.text.encode() for r in training.collect()], WordIds(WORD_FILE))
+    share = (target[target >= 0] == lm_scoring.END_ID).mean()
+    assert share == pytest.approx((ids == lm_scoring.END_ID).mean(), rel=0.3)
+
+
 def test_ids_are_counted_over_all_words(documents):
     training = documents.select(F.coalesce("text", F.lit("")).alias("text"))
     counts = lm_scoring.count_ids(lm_scoring.count_words(training), WORD_FILE, 49408)
