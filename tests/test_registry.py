@@ -24,6 +24,11 @@ def test_names():
     assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
+def test_a_part_that_cannot_be_imported_is_left_out():
+    with pytest.warns(UserWarning, match="left out"):
+        assert registry._optional("no_such_module") is None
+
+
 def test_entry(spark):
     assert registry.entry(spark).count() == 1
 
