@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from assayer.llm.counted_join import join_counted
 from assayer.llm.shingles import grams, mixed, word_numbers
-from assayer.session import settle
+from assayer.session import discard, settle
 
 LENGTH = 35
 ANCHOR = 8
@@ -317,9 +317,11 @@ def match_windows(runs: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(source: DataFrame, length: int, shard_runs: int) -> DataFrame:
     """``doc_id, mark, a, b``: windows that start in ``[a, b)`` are repeated."""
-    runs = settle(find_runs(source, length), "runs")
-    often = settle(runs.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1"), "often")
-    runs = settle(join_counted(runs, often, ["anchor"], "times", runs.count()).drop("times"), "runs")
+    found = settle(find_runs(source, length), "runs")
+    often = settle(found.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1"), "often")
+    runs = settle(join_counted(found, often, ["anchor"], "times", found.count()).drop("times"), "runs")
+    for done in (found, often):  # read no more; half of the runs are not wanted
+        discard(done)
     first = F.min(F.struct(*KEY, "start", "windows")).alias("first")
     counts = settle(runs.groupBy("anchor", "run").agg(F.count("*").alias("times"), first), "counts")
     copied = counts.where("times > 1").select("anchor", "run", "times")
