@@ -216,10 +216,10 @@ def crowd_links(rows: DataFrame, found: DataFrame, threshold: int, crowd: int) -
     sizes = marked.groupBy("anchor", "label").agg(F.count("*").alias("size"), F.max("n").alias("n"))
     main = F.max(F.struct("size", "label"))
     plans = sizes.groupBy("anchor").agg(main.alias("main"), F.max("n").alias("n")).where("main.size < n")
-    plans = plans.select(
-        "anchor", F.col("main.label").alias("main"), F.expr(f"(n - main.size + {crowd} - 1) div {crowd}").alias("blocks")
-    )
-    marked = marked.join(F.broadcast(settle(plans, "plans")), "anchor")  # at most members / crowd rows
+    blocks = F.expr(f"(n - main.size + {crowd} - 1) div {crowd}").alias("blocks")
+    plans = settle(plans.select("anchor", "n", F.col("main.label").alias("main"), blocks), "plans")
+    total = plans.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    marked = join_counted(marked.drop("n"), plans, ["anchor"], "n", total)
     parts = F.expr(f"(n + {crowd} - 1) div {crowd}").alias("parts")
     here = marked.select("anchor", "mark", "label", "main", "blocks", parts)
     right = here.select(
