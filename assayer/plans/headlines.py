@@ -223,21 +223,22 @@ def features(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "lexicon_features",
-    sql_with(TOKENS + " lexicon", FEATURES_SQL)
+    sql_with(ALL_TOKENS + " lexicon", FEATURES_SQL)
     + " SELECT id, label, n_tokens, positive, negative, indicator, round(score, 6) AS score FROM features",
 )
 def lexicon_features(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(features(spark, folder), "score")
+    rows = stored_tokens(spark, folder, labelled=False)
+    return rounded(lex.lexicon_features(rows, "id", "tokens", standins.lexicon(rows), carry=["label"]), "score")
 
 
 @query(
     "lexicon_features_joined",
-    sql_with(TOKENS + " lexicon", FEATURES_SQL)
+    sql_with(ALL_TOKENS + " lexicon", FEATURES_SQL)
     + " SELECT id, label, n_tokens, positive, negative, indicator, round(score, 6) AS score FROM features",
 )
 def lexicon_features_joined(spark: SparkSession, folder: str) -> DataFrame:
     """The form for lexicons too large to put into an expression."""
-    rows = stored_tokens(spark, folder)
+    rows = stored_tokens(spark, folder, labelled=False)
     counted = lex.joined_features(rows, "id", "tokens", standins.lexicon(rows), ["label"])
     return rounded(lex.with_score(counted), "score")
 
