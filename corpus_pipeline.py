@@ -31,33 +31,59 @@ def without(documents: DataFrame, keys: DataFrame, how: str = "left_anti") -> Da
     return documents.join(keys, same, how)
 
 
+def free_name(docs: DataFrame, wish: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {name.lower() for name in docs.columns}
+    while wish in taken:
+        wish += "_"
+    return wish
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of undetermined language; fill in the language where it is null."""
+    """Drop documents of undetermined language; fill in the language where it is null.
+
+    Columns pass through under names of their own, so that they may be called like a result.
+    """
     samples = language_id.learn(docs)
-    found = language_id.identify(docs, samples, keep=tuple(docs.columns))
+    names = {f"given {i}": name for i, name in enumerate(docs.columns)}
+    inside = {name: given for given, name in names.items()}
+    given = docs.toDF(*names)
+    found = language_id.identify(given, samples, keep=tuple(names), text_column=inside["text"])
     clean = found.where(F.col("lang_pred") != language_id.UNDETERMINED)
-    return clean.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+    filled = clean.withColumn(inside["lang"], F.coalesce(inside["lang"], "lang_pred"))
+    return filled.select(*names).toDF(*docs.columns)
 
 
 def without_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays; rows that agree in id and text count once."""
-    groups = settle(exact_groups(docs), "exact-groups")
-    keys = groups.where("group_size > 1").groupBy("doc_id", "text_sha256")
+    mark = free_name(docs, "text_sha256")
+    groups = settle(exact_groups(docs).withColumnRenamed("text_sha256", mark), "exact-groups")
+    keys = groups.where("group_size > 1").groupBy("doc_id", mark)
     keys = settle(keys.agg(F.max("kept").alias("stays"), F.count("*").alias("rows")), "keys")
-    marked = docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
-    left = without(marked, keys.where("NOT stays").select("doc_id", "text_sha256"))
-    repeated = keys.where("stays AND rows > 1").select("doc_id", "text_sha256")
+    marked = docs.withColumn(mark, F.sha2(F.coalesce("text", F.lit("")), 256))
+    left = without(marked, keys.where("NOT stays").select("doc_id", mark))
+    repeated = keys.where("stays AND rows > 1").select("doc_id", mark)
     if repeated.isEmpty():
         return left.select(docs.columns)
     once = without(left, repeated)
-    again = without(left, repeated, "left_semi").dropDuplicates(["doc_id", "text_sha256"])
+    again = without(left, repeated, "left_semi").dropDuplicates(["doc_id", mark])
     return once.unionByName(again).select(docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of similar documents the one with the least id stays."""
-    groups = near_groups(docs, width=NEAR_WIDTH, percent=NEAR_PERCENT)
-    return without(docs, groups.where("doc_id <> component_id").select("doc_id").distinct())
+    """Of each component of similar documents the one with the least id stays.
+
+    A document is known by its id and text, as rows with different texts may share an id. A null id counts as greater
+    than all others; of one id, the text with the least md5 stays.
+    """
+    mark = free_name(docs, "text_md5")
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), digest.alias("mark"))
+    groups = near_groups(docs.select(name.alias("doc_id"), "text"), width=NEAR_WIDTH, percent=NEAR_PERCENT)
+    copies = groups.where("doc_id <> component_id").select(
+        F.col("doc_id.id").alias("doc_id"), F.col("doc_id.mark").alias(mark)
+    )
+    return without(docs.withColumn(mark, digest), copies.distinct()).select(docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

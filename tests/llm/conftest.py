@@ -4,12 +4,13 @@ import random
 
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rank int, label string, host string, spot long"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rank int, label string, host string, spot long, "
+SCHEMA += "score string, bits string, lang_pred string, text_sha256 string, text_md5 string"
 
 
 def document(doc_id, text, lang="en"):
     """A document with further columns whose names the operators use inside."""
-    return (doc_id, text, lang, "s", len(text or ""), 1, "x", None, 7)
+    return (doc_id, text, lang, "s", len(text or ""), 1, "x", None, 7, "a", "b", "xx", "not a hash", None)
 
 
 @pytest.fixture(scope="session")

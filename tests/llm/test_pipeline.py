@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline as pipeline
 from assayer.llm.exact_dedup import exact_groups
+from tests.llm.conftest import SCHEMA, document
 from tests.llm.test_copies import brute_components
 
 
@@ -31,6 +32,23 @@ def test_stages(spark, documents):
     assert {r.doc_id for r in packed} == {r.doc_id for r in docs.collect()}
 
 
+def test_columns_named_like_results_pass_through(spark, documents):
+    for _, stage in pipeline.STAGES[:-1]:
+        rows = stage(spark, documents, "").collect()
+        assert rows and {(r.score, r.bits, r.lang_pred, r.text_sha256, r.text_md5) for r in rows} == {
+            ("a", "b", "xx", "not a hash", None)
+        }
+
+
+def test_near_stage_tells_rows_of_one_id_apart(spark, words):
+    """Of rows that share an id only the copy goes; a null id stays behind every other."""
+    text, other = " ".join(words(200, 21)), " ".join(words(200, 22))
+    rows = [(1, text), (2, f"{text} more"), (2, other), (None, f"{text} less"), (None, "of its own and long enough"), (7, None)]
+    docs = spark.createDataFrame([document(i, t) for i, t in rows], SCHEMA)
+    left = {(r.doc_id, r.text) for r in pipeline.without_near_copies(spark, docs, "").collect()}
+    assert left == {(1, text), (2, other), (None, "of its own and long enough"), (7, None)}
+
+
 def test_exact_stage_keeps_one_of_repeated_rows(spark, documents):
     docs = documents.unionByName(documents)
     left = pipeline.without_exact_copies(spark, docs, "").collect()
