@@ -34,7 +34,7 @@ CLASS_TOKENS = 3  # a class of the template has at least so many tokens
 CLASS_SHARE = 0.5  # and is on at least this share of the host's pages
 REPEATED_CONTENTS = 1_000_000  # numbers of repeated pages that are broadcast
 HEADS = {"h1", "h2", "h3", "h4", "h5", "h6", "dt", "th", "caption"}
-SLOTS = 5
+SLOTS = 5  # slots kept a host; a page's text outside them competes with them
 BROADCAST_BYTES = 64 * 1024 * 1024
 _HOST = re.compile(r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)")
 SEPARATOR = ">"
@@ -137,18 +137,24 @@ def token_table(pages: DataFrame) -> DataFrame:
     return summed.withColumn("vector", vector).drop("low", "high")
 
 
+def by_host(table: DataFrame, name: str) -> DataFrame:
+    """``table``, one row a host, stored and broadcast if it is small, so that no host's tokens meet in one task."""
+    table = settle(table, name)
+    size = table.agg(F.sum(F.length(F.to_json(F.struct("*"))) * 2)).first()[0] or 0
+    return F.broadcast(table) if size <= BROADCAST_BYTES else table
+
+
 def templates(tokens: DataFrame) -> DataFrame:
     """``host, articles, repeated``: paths of the best slots, best first, and the template's own blocks."""
-    pages = tokens.where("token = 'p'").select("host", F.col("pages").alias("of"))
+    pages = by_host(tokens.where("token = 'p'").select("host", F.col("pages").alias("of")), "page-counts")
     held = tokens.where("token <> 'p'").join(pages, "host")
     marked = held.where(F.col("token").rlike("^[et]") & (F.col("pages") >= CLASS_SHARE * F.col("of")))
     classes = marked.groupBy("host", "vector", "pages", "total").agg(
         F.count("*").alias("size"), F.collect_list("token").alias("members")
     )
     valid = classes.where(F.col("size") >= CLASS_TOKENS).select("host", "pages", F.explode("members").alias("token"))
-    frame = valid.groupBy("host").agg(
-        F.collect_set(F.when(F.col("token").startswith("e"), F.expr("substring(token, 2)"))).alias("elements")
-    )
+    elements = F.collect_set(F.when(F.col("token").startswith("e"), F.expr("substring(token, 2)")))
+    frame = by_host(valid.groupBy("host").agg(elements.alias("elements")), "frames")
     texts = (
         valid.where(F.col("token").startswith("t") & (F.col("pages") > 1))
         .groupBy("host")
@@ -200,9 +206,10 @@ def within(path: str, slot: str) -> bool:
 
 
 def article_text(page: str, articles: list[str], repeated: set[str]) -> str:
-    """Blocks of the slot in ``articles`` that holds most of this page's own text, joined by line breaks.
+    """Blocks of the slot that holds most of this page's own text, joined by line breaks.
 
-    A block counts for the deepest slot around it. Template text inside the slot goes if it is the lesser part of the
+    A block counts for the deepest slot of ``articles`` around it; outside all of them, for its own container, which
+    is then a slot of this page alone. Template text inside the slot goes if it is the lesser part of the
     slot's text; where it is more, the host's pages are much alike and it is the article. Headings stay.
     """
     blocks = [(path, body, linked) for path, body, linked in blocks_of(page) if body]
@@ -216,10 +223,12 @@ def article_text(page: str, articles: list[str], repeated: set[str]) -> str:
         around = [a for a in articles if within(path, a)]
         if around:
             weights[max(around, key=len)] += weight * (not template)
-        own[widen(path)] += weight
+        else:
+            own[widen(path)] += weight * (not template)
     best = max(articles, key=lambda a: weights.get(a, -1), default=None)
-    if best not in weights:
-        best = max(own, key=lambda w: (own[w], w), default="")
+    other = max(own, key=lambda w: (own[w], w), default="")
+    if best not in weights or own[other] > weights[best]:
+        best = other
     inside = [m for m in marked if within(m[0], best)]
     gone = sum(len(body) for _, body, _, template in inside if template)
     few = 2 * gone < sum(len(body) for _, body, _, _ in inside)
@@ -231,8 +240,8 @@ def extract(
 ) -> DataFrame:
     """``page_id, url, text`` per row: the main text, blocks joined by one line break; empty if there is none.
 
-    Null html counts as empty; a null url and one without host belong to the host ``''``. A page that has none
-    of its host's slots is judged by its own text alone. Repeated rows give the same text each. Other columns are ignored.
+    Null html counts as empty; a null url and one without host belong to the host ``''``. A page whose own text lies
+    mostly outside its host's slots is judged by its own containers. Repeated rows give the same text each. Other columns are ignored.
     """
     source = pages.select(
         F.col(id_column).alias("page_id"), F.col(url_column).alias("url"), F.col(html_column).alias("html")

@@ -69,12 +69,19 @@ def is_aside(name: str) -> bool:
 def parts(page: str) -> Iterator[tuple[str, tuple[str, ...], str, bool]]:
     """``(kind, path, text, in link)``: kind ``open`` for an element, ``text`` for a text node, ``break`` between blocks.
 
-    A path names the open block elements from the root, ``DEPTH`` at most. End tags close what they match and
+    A path names the open block elements from the root, ``DEPTH`` at most, and the outermost aside below those. End tags close what they match and
     are ignored otherwise. Text is given with character references decoded; void elements but ``hr`` and inline
     elements break no block; ``br`` is white space.
     """
     path: list[str] = []
+    deep: list[int] = []  # places of open asides below DEPTH
     links, at, here = 0, 0, ()
+
+    def named() -> tuple[str, ...]:
+        while deep and deep[-1] >= len(path):
+            deep.pop()
+        return (*path[:DEPTH], path[deep[0]]) if deep else tuple(path[:DEPTH])
+
     while at < len(page):
         found = _TAG.search(page, at)
         text = page[at : found.start()] if found else page[at:]
@@ -107,8 +114,11 @@ def parts(page: str) -> Iterator[tuple[str, tuple[str, ...], str, bool]]:
                 top = path[-1].split(".", 1)[0]
                 if top in ENDS.get(tag, ()) or top == "p" or (tag == "tr" and top in ENDS["tr"]):
                     path.pop()
+                    named()
             path.append(component(tag, attributes))
-        here = tuple(path[:DEPTH])
+            if len(path) > DEPTH and is_aside(path[-1]):
+                deep.append(len(path) - 1)
+        here = named()
         links = 0 if not closing else links
         yield "break", here, "", False
         if not closing:
@@ -117,5 +127,5 @@ def parts(page: str) -> Iterator[tuple[str, tuple[str, ...], str, bool]]:
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
                 path.pop()
-                here = tuple(path[:DEPTH])
+                here = named()
                 yield "break", here, "", False

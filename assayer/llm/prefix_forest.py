@@ -82,11 +82,11 @@ class Forest:
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """``id, v``: vectors of the commonest length that are not zero and have finite components only."""
+    """``id, v``: vectors of the commonest length (the least of several) that are not zero and have finite components only."""
     rows = vectors.select(F.col(id_column).alias("id"), F.col(vector_column).cast("array<double>").alias("v"))
     bad = "exists(v, x -> x IS NULL OR isnan(x) OR abs(x) = double('infinity'))"
     rows = rows.dropna().where(f"NOT {bad}").where("exists(v, x -> x <> 0)")
-    width = rows.agg(F.mode(F.size("v"))).first()[0]
+    width = rows.agg(F.mode(F.size("v"), deterministic=True)).first()[0]
     return rows.where(F.size("v") == (width or 0))
 
 
@@ -104,7 +104,7 @@ def nearest(
 
     ``score`` is the inner product in double precision; ties go to the smaller id. A row is no
     candidate for a query with its own id. Null ids, null or zero vectors, those with null or
-    non-finite components and those of another length than the commonest take no part. If an id repeats, each
+    non-finite components and those of another length than the commonest (of equally common ones the least) take no part. If an id repeats, each
     of its rows is a candidate and one of them a query. Other columns are ignored; an empty table has no result.
     """
     rows = settle(usable(vectors, id_column, vector_column), "vectors")

@@ -91,6 +91,12 @@ def test_forest_defined_results(spark):
     assert prefix_forest.nearest(vectors(spark, bad[:2]), lambda i: i % 20 == 0).count() == 0
 
 
+def test_forest_takes_one_length(spark):
+    rows = [(i, [1.0, float(i + 1)], "s", 1) for i in range(2)] + [(20 + i, [1.0, 2.0, float(i)], "s", 1) for i in range(2)]
+    got = prefix_forest.nearest(vectors(spark, rows), lambda i: i >= 0).collect()
+    assert {(r.query_id, r.vec_id) for r in got} == {(0, 1), (1, 0)}
+
+
 def test_forest_recall(spark):
     rng = np.random.default_rng(5)
     centres = rng.standard_normal((20, 32))
@@ -162,6 +168,28 @@ def test_slot_with_most_text_of_the_page():
     assert html_extraction.article_text(page, slots, set()) == "The long text of this page"
 
 
+def test_article_outside_its_hosts_slots(spark):
+    """Five kinds of pages fill the host's slots; the article of a sixth kind is in none and yet the page's text."""
+    line = "<div class=line><p>Site wide line of text</p></div>"
+    kinds = [(k, 9) for k in "abcde"] + [("f", 1)]
+    rows, want = [], {}
+    for kind, times in kinds:
+        for i in range(times):
+            body = " ".join(f"{kind}{i} word" for _ in range(70 if kind != "f" else 60))
+            rows.append((len(rows), "http://h.org/x", f"<html><body>{line}<div class=kind{kind}><p>{body}</p></div></body></html>"))
+            want[len(rows) - 1] = body
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_extraction.extract(table).collect()} == want
+
+
+def test_asides_at_any_depth():
+    for depth in (5, 59, 60, 61, 70, 500):
+        body = "<nav><p>Menu</p></nav><div class=comments><div><p>Reader</p></div></div><p>The text</p><footer><p>Foot"
+        page = "<html><body>" + "<div>" * depth + body + "</div>" * 3 + "<p>More text</p>"
+        blocks = [b for _, b, _ in html_extraction.blocks_of(page) if b]
+        assert [b for b in blocks if b != "Foot"] == ["The text", "More text"] and "Foot" not in blocks, depth
+
+
 def test_parts_are_lenient():
     text = lambda h: " ".join("".join(t for k, _, t, _ in parts(h) if k == "text").split())
     assert text("<p>a<p>b<style>x{}</style>c") == "abc"
