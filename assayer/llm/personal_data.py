@@ -14,8 +14,10 @@ short ones with a letter elsewhere are negative, unless a credential's or contac
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from assayer.llm.boosting import BoostedTrees
 
 SAMPLE_TEXTS = 4000
+SPANS_A_TEXT = 20  # of the sampled texts' spans, so many for each text on average are learnt from
+LONGEST_TAIL = 512
 PRECISION = 0.995
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("secret", "contact", "number")
@@ -96,7 +100,11 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def proposals(text: str) -> list[tuple[str, int, int]]:
-    """Overlapping spans around every chunk that has a digit or ``@``, and values of any kind behind credential names."""
+    """Overlapping spans around every chunk that has a digit or ``@``, and values of any kind behind credential names.
+
+    Every key's value up to the next key is proposed; what runs on over the next key only behind a chunk's first key
+    or if it has at most ``LONGEST_TAIL`` characters, as such spans lie in one another.
+    """
     out, at = [], 0
 
     def add_value(left: int, right: int) -> None:
@@ -124,7 +132,7 @@ def proposals(text: str) -> list[tuple[str, int, int]]:
             if value:
                 following = keys[i + 1].start() if i + 1 < len(keys) else end
                 add_value(value.start(), min(value.end(), following))
-                if following < value.end() and (i == 0 or value.end() - value.start() <= 512):
+                if following < value.end() and (i == 0 or value.end() - value.start() <= LONGEST_TAIL):
                     add_value(value.start(), value.end())
         done = start
         for first in _NUMBER_START.finditer(text, start, end):
@@ -216,7 +224,7 @@ class SpanModel:
 def learn(documents: DataFrame, text_column: str = "text", sample: int = SAMPLE_TEXTS, seed: int = 7) -> SpanModel:
     """Fit the trees and choose, per kind, the least threshold with held-out precision ``PRECISION``.
 
-    With no texts the written examples alone are learnt.
+    Some ``sample`` texts are learnt from, and of their spans the ``SPANS_A_TEXT * sample`` with the least hashes. With no texts the written examples alone are learnt.
     """
     texts = documents.select(F.col(text_column).alias("text")).where(F.col("text").rlike("[0-9@]"))
     total = max(1, texts.count())
@@ -227,9 +235,9 @@ def learn(documents: DataFrame, text_column: str = "text", sample: int = SAMPLE_
             rows = []
             for text in batch["text"]:
                 base = base_spans(text)
-                inside = [(s, e) for _, s, e in base]
+                inside = Spans([(s, e) for _, s, e in base])
                 for kind, s, e in proposals(text):
-                    cover = [(a, b) for a, b in inside if a < e and s < b]
+                    cover = list(inside.touching(s, e))
                     whole = any(a - 3 <= s and e <= b + 3 for a, b in cover)
                     short = e - s < 14 and any(c.isalpha() for c in text[s:e])
                     before = text[max(0, s - 24) : s]
@@ -238,7 +246,8 @@ def learn(documents: DataFrame, text_column: str = "text", sample: int = SAMPLE_
             yield pd.DataFrame(rows, columns=["kind", "label", "x"])
 
     schema = "kind string, label double, x array<double>"
-    seen = chosen.mapInPandas(features, schema).limit(20 * sample).toPandas()
+    spans = chosen.mapInPandas(features, schema)
+    seen = spans.orderBy(F.xxhash64("kind", "label", "x"), "kind", "label", "x").limit(SPANS_A_TEXT * sample).toPandas()
     x, y, kinds = written_examples(4000, seed)
     if len(seen):
         x = np.vstack([x, np.stack(seen["x"])])
@@ -256,12 +265,29 @@ def learn(documents: DataFrame, text_column: str = "text", sample: int = SAMPLE_
     return SpanModel(trees, thresholds)
 
 
+class Spans:
+    """Spans sorted by start, with the greatest end so far, to find those that overlap another one."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.spans = sorted(spans)
+        self.starts = [s for s, _ in self.spans]
+        self.reach = list(accumulate((e for _, e in self.spans), max))
+
+    def touching(self, start: int, end: int) -> Iterator[tuple[int, int]]:
+        i = bisect_left(self.starts, end)
+        while i and self.reach[i - 1] > start:
+            i -= 1
+            if self.spans[i][1] > start:
+                yield self.spans[i]
+
+
 def added_spans(texts: list[str], bases: list[list], model: SpanModel) -> list[list[tuple[str, int, int, float]]]:
     """Selected proposals of each text that touch no rule's span and none with a higher score; a whole number goes before parts of it."""
     place, rows = [], []
     for i, (text, base) in enumerate(zip(texts, bases)):
+        known = Spans([(a, b) for _, a, b in base])
         for kind, s, e in proposals(text):
-            if not any(a < e and s < b for _, a, b in base):
+            if not any(known.touching(s, e)):
                 place.append((i, kind, s, e))
                 rows.append(describe(text, kind, s, e))
     out: list[list] = [[] for _ in texts]
@@ -272,14 +298,18 @@ def added_spans(texts: list[str], bases: list[list], model: SpanModel) -> list[l
     for k, (i, kind, s, e) in enumerate(place):
         if kind == "number" and scores[k] >= model.thresholds[kind]:
             numbers[i].append((s, e))
+    whole, taken = [Spans(n) for n in numbers], [[] for _ in texts]
     for k in sorted(range(len(rows)), key=lambda k: (-scores[k], place[k])):
         i, kind, s, e = place[k]
         part = any(
             (a, b) != (s, e) and (a <= s and e <= b or kind != "number" and (s < a < e < b or a < s < b < e))
-            for a, b in numbers[i]
+            for a, b in whole[i].touching(s, e)
         )
-        if scores[k] >= model.thresholds[kind] and not part and not any(a < e and s < b for _, a, b, _ in out[i]):
-            out[i].append((kind, s, e, float(scores[k])))
+        if scores[k] >= model.thresholds[kind] and not part:
+            at = bisect_left(taken[i], (e,))
+            if not at or taken[i][at - 1][1] <= s:
+                taken[i].insert(at, (s, e))
+                out[i].append((kind, s, e, float(scores[k])))
     return [sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]))) for spans in out]
 
 

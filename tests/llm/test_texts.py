@@ -193,6 +193,33 @@ def test_proposals_hold_every_value(text, span):
     assert span in [text[s:e] for _, s, e in personal_data.proposals(text)]
 
 
+def test_spans_find_all_that_overlap():
+    rng = random.Random(4)
+    for _ in range(200):
+        spans = [(s, s + rng.randint(1, 30)) for s in (rng.randint(0, 100) for _ in range(rng.randint(0, 12)))]
+        start = rng.randint(0, 100)
+        end = start + rng.randint(1, 30)
+        want = sorted((a, b) for a, b in spans if a < end and start < b)
+        assert sorted(personal_data.Spans(spans).touching(start, end)) == want
+
+
+def test_many_spans_of_a_long_text_do_not_overlap(documents):
+    model = personal_data.learn(documents)
+    text = "mail a.b@mail.org password=9f8a7b6c5d4e3f2a1b0c " * 3000
+    bases, added = personal_data.scan([text], model)
+    assert len(bases[0]) == 3000 and len(added[0]) >= 3000
+    spans = sorted((s, e) for _, s, e, *_ in bases[0] + added[0])
+    assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
+
+
+def test_what_is_learnt_does_not_depend_on_partitions(documents):
+    """The spans to learn from are chosen by hash, so other partitions give the same model."""
+    models = [personal_data.learn(documents.repartition(n), sample=3) for n in (1, 7)]
+    assert models[0].thresholds == models[1].thresholds
+    found = [personal_data.scan([PII], m)[1] for m in models]
+    assert found[0] == found[1]
+
+
 def test_recall_on_planted_values(spark, documents):
     model, rng = personal_data.learn(documents), np.random.default_rng(5)
     pick = lambda letters, n: "".join(rng.choice(list(letters), n))
