@@ -121,8 +121,27 @@ def test_windows_hold_every_id_alike():
             assert after < 0 or before == (after - 1 if after > 100 else -1)
 
 
-def test_fitted_model_beats_the_base(spark):
-    """Texts whose words follow from the one before, and end after a certain word: learnt, and better than word counts."""
+def test_sample_grows_with_the_texts(spark, monkeypatch, words):
+    monkeypatch.setattr(lm_scoring, "LEAST_WINDOWS", 10)
+    monkeypatch.setattr(lm_scoring, "WINDOW_SHARE", 1 / 4)
+    monkeypatch.setattr(lm_scoring, "SHARD_WINDOWS", 400)
+    found = []
+    for n in (200, 800):
+        table = spark.createDataFrame([(" ".join(words(100, i)),) for i in range(n)], "text string")
+        sample, shards = lm_scoring.sample_windows(table, WORD_FILE)
+        found.append((sample.count(), shards))
+        assert lm_scoring.sample_windows(table.repartition(5), WORD_FILE)[0].select("key", "ids").subtract(
+            sample.select("key", "ids")).isEmpty()
+    assert 3.5 < found[1][0] / found[0][0] < 4.5 and found[1][1] >= 3 * found[0][1] > 0
+
+
+@pytest.mark.parametrize("shard_windows", [40_000, 100])
+def test_fitted_model_beats_the_base(spark, monkeypatch, shard_windows):
+    """Texts whose words follow from the one before, and end after a certain word: learnt, and better than word counts.
+
+    Likewise with averaged shards.
+    """
+    monkeypatch.setattr(lm_scoring, "SHARD_WINDOWS", shard_windows)
     rng = random.Random(12)
     follows = {w: rng.sample("alpha beta gamma delta omega sigma".split(), 2) for w in "alpha beta gamma delta omega sigma".split()}
 
@@ -137,7 +156,9 @@ def test_fitted_model_beats_the_base(spark):
     held_out = scored.where("doc_id % 5 = 1").agg(F.sum("score"), F.sum("base_score"), F.count("*")).first()
     assert held_out[2] == 120 and held_out[0] > 0.7 * held_out[1]
     training = docs.where("doc_id % 5 <> 1").select("text")
-    before, target = lm_scoring.sample_windows(training, WORD_FILE, 5000)
+    sample, shards = lm_scoring.sample_windows(training, WORD_FILE)
+    assert (shards > 2) == (shard_windows < 40_000)
+    target = np.array([np.frombuffer(r.ids, np.int32)[1:] for r in sample.collect()])
     ids, _ = lm_scoring.encoded([r.text.encode() for r in training.collect()], WordIds(WORD_FILE))
     share = (target[target >= 0] == lm_scoring.END_ID).mean()
     assert share == pytest.approx((ids == lm_scoring.END_ID).mean(), rel=0.3)
