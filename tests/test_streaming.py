@@ -212,3 +212,33 @@ def test_headline_ids_follow_content(spark, tmp_path):
     assert ids[0] == ids[1]
     same = sorted(int(i.split("-")[1]) for i, t in ids[0] if t == "same")
     assert same == list(range(50))
+
+
+def test_files_of_a_batch_have_models_of_their_own(spark, tmp_path, incoming):
+    for i in range(7):
+        write(incoming, f"{i}.csv", 100 + i, seed=i)
+    write(incoming, "same.csv", 40, one_class=True)
+    alone = ModelStore(spark, str(tmp_path / "alone"))
+    run(spark, incoming, tmp_path, alone)
+    together = ModelStore(spark, str(tmp_path / "together"), span=4)
+    retrainer, batches = Retrainer(together, trees=5, file_column="file"), []
+
+    def on_batch(batch, batch_id):
+        batches.append(batch_id)
+        retrainer(batch, batch_id)
+        retrainer(batch.limit(0), batch_id)  # a replay changes nothing
+
+    size = max(f.stat().st_size for f in incoming.iterdir())
+    stream = stream_csv(spark, str(incoming), bytes_per_batch=6 * size, file_column="file")
+    drain(start(stream, on_batch, str(tmp_path / "p")), 300)
+    columns = [c.split()[0] for c in RECORD.split(", ")][1:]
+    rows = [[sorted(tuple(str(r[c]) for c in columns) for r in s.records().collect())] for s in (alone, together)]
+    assert rows[0] == rows[1] and len(batches) < 8
+    assert sorted(r["batch_id"] for r in together.records().collect()) == list(range(8))
+    assert together.pointer().compacted == 2 and together.pointer().last == 7
+    assert len(together.promoted()) == 2 and together.latest().getNumTrees == 5
+    # as do the files after them
+    (incoming / "sub").mkdir()
+    write(incoming / "sub", "late.csv", 90, seed=8)
+    retrainer(read_csv(spark, str(incoming / "sub")).withColumn("file", F.lit("late")), max(batches) + 1)
+    assert together.pointer().last == 8 and together.promoted()[0] == 8
