@@ -8,6 +8,8 @@ its share of the corpus counts.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 WIDTH = 16
@@ -51,8 +53,10 @@ def log_softmax_at(logits: np.ndarray, pick: np.ndarray) -> np.ndarray:
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
-    p = np.exp(logits - logits.max(axis=1, keepdims=True))
-    p /= p.sum(axis=1, keepdims=True)
+    if len(logits) and max(logits.max(), -logits.min()) > 60:
+        logits = logits - logits.max(axis=1, keepdims=True)
+    p = np.exp(logits)
+    p /= (p @ np.ones(p.shape[1], p.dtype))[:, None]
     return p
 
 
@@ -161,11 +165,17 @@ class Attention:
                 at += part[k].size
         return self
 
-    def fit(self, inputs, rank, counted, done: int = 0, steps: int = STEPS, seed: int = SEED) -> Attention:
-        """``steps`` further steps of Adam, after ``done`` of ``STEPS``, on random batches of windows; the rate falls linearly."""
-        rng = np.random.default_rng((seed, done))
-        for step in range(done + 1, done + steps + 1 if len(inputs) else 0):
-            rows = rng.integers(0, len(inputs), BATCH)
+    def fit(self, inputs, rank, counted, done: int = 0, steps: int = STEPS, seed: int = SEED, over: int = STEPS) -> Attention:
+        """``steps`` further steps of Adam, after ``done`` of ``STEPS``, on batches of windows; the rate falls linearly.
+
+        In every ``over`` steps each window is visited once at least: batches follow shuffled passes over all windows and
+        are larger than ``BATCH`` where so many steps of it would not reach them all.
+        """
+        if not len(inputs):
+            return self
+        size = max(BATCH, -(-len(inputs) // over))
+        batches = visited(len(inputs), size, done % over * size, (seed, done // over))
+        for step, rows in zip(range(done + 1, done + steps + 1), batches):
             rate = RATE * (1 - (step - 1) / STEPS) * min(1.0, step / 50)
             for name, g in self.gradients(inputs[rows], rank[rows], counted[rows]).items():
                 self.first[name] += np.float32(0.1) * (g - self.first[name])
@@ -175,6 +185,21 @@ class Attention:
         return self
 
 
+def visited(n: int, size: int, at: int, seed: tuple[int, int]) -> Iterator[np.ndarray]:
+    """Batches of ``size`` numbers below ``n`` from place ``at`` of an endless row of shuffled passes over all."""
+    nth, order = -1, None
+    while True:
+        rows, lacking = [], size
+        while lacking:
+            if at // n != nth:
+                nth = at // n
+                order = np.random.default_rng((*seed, nth)).permutation(n)
+            rows.append(order[at % n : at % n + lacking])
+            at += len(rows[-1])
+            lacking -= len(rows[-1])
+        yield np.concatenate(rows)
+
+
 def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``start, owner, fresh`` of the windows over texts of these lengths, laid end to end.
 

@@ -4,9 +4,9 @@ Words are counted over all training texts: each task counts its own first, so wh
 of distinct words. The ``HEAD_WORDS`` most frequent words go to every task in a broadcast of that bound; a
 text's other words are joined with the counts, and no such word is frequent enough to fill a task.
 Subword ids are counted over all training texts too; they give the model its classes. The attention weights
-are fitted to windows of training texts chosen by hash: the share ``WINDOW_SHARE`` of all, and ``LEAST_WINDOWS`` where
-that is fewer. They are dealt into shards; in each of ``ROUNDS`` rounds every shard takes the same number of steps from
-the common weights in a task of its own, and the weights are averaged by place. All texts are scored whole, in overlapping windows that count each id once.
+are fitted to all windows of all training texts, laid end to end, so that each id is learnt from. Windows are dealt by
+hash into shards and turns; in each of ``ROUNDS`` rounds every shard takes the same number of steps over its windows of
+that turn, from the common weights in a task of its own, and the weights are averaged by place. All texts are scored whole, in overlapping windows that count each id once.
 """
 
 from __future__ import annotations
@@ -21,17 +21,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayer.llm.attention import OWN, ROUNDS, SEED, STEPS, WINDOW, Attention, id_ranks, windows
+from assayer.llm.attention import BATCH, OWN, ROUNDS, SEED, STEPS, WINDOW, Attention, id_ranks, windows
 from assayer.llm.word_ids import word_ids
-from assayer.session import settle
+from assayer.session import new_folder, settle
 
 HEAD_WORDS = 1 << 18
 LEAST_WINDOWS = 40_000
-WINDOW_SHARE = 1 / 256
-SHARD_WINDOWS = 40_000
-TOGETHER = 4  # windows drawn from a text at a time, as it is encoded for them
+WINDOW_SHARE = 1  # every window; a caller may lower it for trials, to ``LEAST_WINDOWS`` at least
+SHARD_WINDOWS = 320_000  # as many as a shard's steps visit, each once
 STATE_ROW = 4096  # numbers of a shard's weights in a row
-TEXT_BYTES = 60  # a text has one window to draw for so many bytes
+TEXT_BYTES = 60  # a text has a window for some so many bytes, from which the number of shards follows
+ROWS_OUT = 50_000  # windows handed on at a time
 FLUSH = 300_000
 SLICE = 500
 CHUNK = 4096  # windows whose ids are weighed at once
@@ -122,25 +122,39 @@ def laid_out(ids: np.ndarray, lengths: np.ndarray, rank: np.ndarray):
     return inputs[place], place, owner, counted
 
 
-def drawn_windows(ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
+def drawn_windows(ids: np.ndarray, starts: np.ndarray, first=0, stop=None) -> np.ndarray:
     """A window at each start, with the id before it, or -1 at the text's start; -2 fills up.
 
-    ``starts`` run from ``1 - WINDOW`` on, so that every id, the end's too, is in as many windows as any other.
+    ``first`` and ``stop`` are the bounds of each window's text among the ids, by default of all. A start may lie up to
+    ``WINDOW - 1`` places before the text's first.
     """
-    rows = []
-    for low, high in zip(np.maximum(starts, 0).tolist(), np.minimum(starts + WINDOW, len(ids)).tolist()):
-        row = np.full(WINDOW + 1, -2, np.int32)
-        row[0] = ids[low - 1] if low else -1
-        row[1 : 1 + high - low] = ids[low:high]
-        rows.append(row.tobytes())
+    begin, end = np.maximum(starts, first), np.minimum(starts + WINDOW, len(ids) if stop is None else stop)
+    place = begin[:, None] + np.arange(-1, WINDOW)
+    rows = ids.astype(np.int32)[np.clip(place, 0, len(ids) - 1)]
+    rows[place >= end[:, None]] = -2
+    rows[begin == first, 0] = -1
     return rows
 
 
+def mixed(marks: np.ndarray, nth: np.ndarray) -> np.ndarray:
+    """A number below 2^62 by text mark and window, spread evenly (splitmix64)."""
+    x = marks + (nth.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(2)).astype(np.int64)
+
+
+def turns_of(shards: int) -> int:
+    """Turns into which a shard's windows are dealt; few windows all take part in every round."""
+    return 1 if shards == 1 else min(ROUNDS, max(1, SHARD_WINDOWS // (BATCH * (STEPS // ROUNDS))))
+
+
 def sample_windows(training: DataFrame, vocabulary: str) -> tuple[DataFrame, int]:
-    """``shard, key, ids`` for each window drawn from training texts with the rows' hashes as seed; number of shards.
+    """``turn, shard, key, ids`` for each window of the training texts; number of shards.
 
-    ``ids`` has one place more than a window; the first is the id before it, or -1 at a text's start. A text is drawn from
-    by its length in bytes, its windows by place among its ids. Their number grows with the texts.
+    ``ids`` has one place more than a window; the first is the id before it, or -1 at a text's start. Windows follow one
+    another without overlap, so each id, the end's too, is in one. The key follows from the row's hash and the window's
+    number, and deals it whatever the partitions. With a ``WINDOW_SHARE`` under 1 only that share of the keys is kept.
     """
     size = F.greatest(F.lit(1), F.expr(f"octet_length(text) div {TEXT_BYTES}"))
     total = training.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
@@ -149,29 +163,47 @@ def sample_windows(training: DataFrame, vocabulary: str) -> tuple[DataFrame, int
     marked = training.select("text", F.xxhash64(*training.columns).alias("mark"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = word_ids(vocabulary), END_ID.to_bytes(4, "little")
+        encoder = word_ids(vocabulary)
         for part, texts in texts_of(batches):
             marks = part.column("mark").to_numpy().view(np.uint64)
-            wished = share * np.array([max(1, len(t) // TEXT_BYTES) for t in texts])
-            take = TOGETHER * (wished / TOGETHER + marks / 2.0**64).astype(int)
-            rows, keys = [], []
-            for i in np.flatnonzero(take).tolist():
-                rng = np.random.default_rng(marks[i])
-                ids = np.frombuffer(encoder.encode(texts[i]) + end, "<u4").astype(np.int32)
-                rows += drawn_windows(ids, rng.integers(1 - WINDOW, len(ids), take[i]))
-                keys += rng.integers(0, 1 << 62, take[i]).tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(rows, pa.binary())], ["key", "ids"])
+            ids, lengths = encoded(texts, encoder)
+            stop, counts = np.cumsum(lengths), -(-lengths // WINDOW)
+            owner = np.repeat(np.arange(len(texts)), counts)
+            nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+            keys = mixed(marks[owner], nth)
+            if share < 1:
+                chosen = keys < share * 2.0**62
+                owner, nth, keys = owner[chosen], nth[chosen], keys[chosen]
+            first = (stop - lengths)[owner]
+            for some in (slice(i, i + ROWS_OUT) for i in range(0, len(keys), ROWS_OUT)):
+                rows = drawn_windows(ids, (first + nth * WINDOW)[some], first[some], stop[owner][some])
+                edges = pa.py_buffer(np.arange(len(rows) + 1, dtype=np.int32) * rows.itemsize * rows.shape[1])
+                cells = pa.Array.from_buffers(pa.binary(), len(rows), [None, edges, pa.py_buffer(rows)])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[some], pa.int64()), cells], ["key", "ids"])
 
     found = marked.mapInArrow(run, "key bigint, ids binary")
-    dealt = found.select(F.pmod("key", F.lit(shards)).cast("int").alias("shard"), "key", "ids")
-    return settle(dealt, "sample-windows"), shards
+    turn = F.pmod(F.expr(f"key div {shards}"), F.lit(turns_of(shards))).cast("int").alias("turn")
+    dealt = found.select(F.pmod("key", F.lit(shards)).cast("int").alias("shard"), "key", "ids", turn)
+    path = new_folder(training.sparkSession, "windows")
+    dealt.write.partitionBy("turn").parquet(path)
+    return training.sparkSession.read.schema(dealt.schema).parquet(path), shards
 
 
-def fitted(model: Attention, sample: DataFrame, rank: np.ndarray) -> Attention:
-    """``model`` after ``ROUNDS`` rounds of steps on every shard; the driver holds one set of weights."""
+def mean_state(table: pa.Table) -> pa.Table:
+    """The shards' rows of one stretch of weights, averaged by place."""
+    rows = table.sort_by("shard").column("state").to_pylist()
+    mean = np.mean([np.frombuffer(row, np.float32) for row in rows], axis=0, dtype=np.float64)
+    return pa.table({"start": table.column("start")[:1], "state": pa.array([mean.astype(np.float32).tobytes()], pa.binary())})
+
+
+def fitted(model: Attention, sample: DataFrame, rank: np.ndarray, turns: int = 1) -> Attention:
+    """``model`` after ``ROUNDS`` rounds of steps on every shard; the driver holds one set of weights.
+
+    A round reads the windows of its turn; those of a shard are one task's, some tens of thousands.
+    """
     context, steps = sample.sparkSession.sparkContext, STEPS // ROUNDS
-    dealt = sample.groupBy("shard")
-    ranks = context.broadcast(rank)
+    ranks = context.broadcast(rank.astype(np.int32))
+    over = STEPS if turns == 1 else steps * (ROUNDS // turns)  # steps in which a shard's windows of a turn are all seen
     for done in range(0, STEPS, steps):
         common = context.broadcast(model.state())
 
@@ -182,20 +214,17 @@ def fitted(model: Attention, sample: DataFrame, rank: np.ndarray) -> Attention:
             known = np.where(before >= 0, 1 + np.minimum(rank[np.maximum(before, 0)], OWN), 0)
             shard = table.column("shard")[0].as_py()
             own = Attention().load(common.value)
-            own.fit(known, rank[np.maximum(target, 0)], target >= 0, done, steps, SEED + shard)
-            state = own.state()
+            own.fit(known, rank[np.maximum(target, 0)], target >= 0, done, steps, SEED + shard, over)
+            state = own.state().astype(np.float32)
             starts = range(0, len(state), STATE_ROW)
-            rows = pa.array([state[i : i + STATE_ROW] for i in starts], pa.list_(pa.float32()))
-            return pa.table({"start": pa.array(starts, pa.int32()), "state": rows})
-
-        parts = dealt.applyInArrow(run, "start int, state array<float>")
-        values = parts.select("start", F.posexplode("state").alias("nth", "value"))
-        mean = values.groupBy((F.col("start") + F.col("nth")).alias("place")).agg(F.avg("value").alias("value")).toArrow()
-        if not mean.num_rows:
-            break
-        state = np.empty(mean.num_rows)
-        state[mean.column("place").to_numpy()] = mean.column("value").to_numpy()
-        model.load(state)
+            rows = pa.array([state[i : i + STATE_ROW].tobytes() for i in starts], pa.binary())
+            return pa.table({"start": pa.array(starts, pa.int32()), "shard": pa.array([shard] * len(starts), pa.int32()), "state": rows})
+
+        turn = sample.where(F.col("turn") == done // steps % turns).select("shard", "key", "ids")
+        parts = turn.groupBy("shard").applyInArrow(run, "start int, shard int, state binary")
+        mean = parts.groupBy("start").applyInArrow(mean_state, "start int, state binary").toArrow().sort_by("start")
+        if mean.num_rows:  # none where a turn has no windows
+            model.load(np.frombuffer(b"".join(mean.column("state").to_pylist()), np.float32))
         common.destroy()
     return model
 
@@ -207,7 +236,8 @@ def train(training: DataFrame, words: DataFrame, vocabulary: str):
     counts = count_ids(words, vocabulary, Tokenizer.from_file(vocabulary).get_vocab_size())
     rank, shares = id_ranks(counts)
     model = Attention().begin(np.sort(counts)[::-1])
-    return fitted(model, sample_windows(training, vocabulary)[0], rank), rank, shares
+    sample, shards = sample_windows(training, vocabulary)
+    return fitted(model, sample, rank, turns_of(shards)), rank, shares
 
 
 def log_probabilities(texts: list[bytes], encoder, learnt) -> np.ndarray:

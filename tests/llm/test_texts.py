@@ -164,6 +164,25 @@ def test_fitted_model_beats_the_base(spark, monkeypatch, shard_windows):
     assert share == pytest.approx((ids == lm_scoring.END_ID).mean(), rel=0.3)
 
 
+def test_every_training_id_is_learnt_from(spark, words):
+    """Windows hold each id of each text once, with the id before it, and the steps over a shard visit each window."""
+    texts = [" ".join(words(n, n)) for n in (0, 1, 5, 40, 300)] * 40
+    table = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = np.array([np.frombuffer(r.ids, np.int32) for r in lm_scoring.sample_windows(table, WORD_FILE)[0].collect()])
+    ids, lengths = lm_scoring.encoded([t.encode() for t in texts], WordIds(WORD_FILE))
+    before = np.concatenate([[-1], ids[:-1].astype(int)])
+    before[np.cumsum(lengths)[:-1]] = -1
+    pairs = Counter(zip(rows[:, :-1][rows[:, 1:] >= 0].tolist(), rows[:, 1:][rows[:, 1:] >= 0].tolist()))
+    assert pairs == Counter(zip(before.tolist(), ids.tolist()))
+    for n, over in ((7, 3), (1000, 10), (5000, 10)):
+        size = max(attention.BATCH, -(-n // over))
+        batches = attention.visited(n, size, 0, (1, 0))
+        seen = np.concatenate([next(batches) for _ in range(over)])
+        assert set(seen.tolist()) == set(range(n))
+        late = attention.visited(n, size, 2 * size, (1, 0))
+        assert np.array_equal(next(late), seen[2 * size : 3 * size])
+
+
 def test_ids_are_counted_over_all_words(documents):
     training = documents.select(F.coalesce("text", F.lit("")).alias("text"))
     counts = lm_scoring.count_ids(lm_scoring.count_words(training), WORD_FILE, 49408)
