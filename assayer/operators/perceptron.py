@@ -323,8 +323,8 @@ def fit_perceptron(
     """
     if method not in ("mixed", "summed"):
         raise ValueError(f"unknown method {method!r}")
-    weights = settle(weights.select(key, "term", "weight"), "training-weights")
-    if method == "mixed":
+    if method == "mixed":  # reads the weights several times
+        weights = settle(weights.select(key, "term", "weight"), "training-weights")
         return fit_mixed(weights, labels, key, label, epochs, tol, shards)
     return fit_summed(weights, labels, key, label, epochs, tol)
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -216,3 +217,22 @@ def test_forms_agree_on_null_arrays_and_repeated_keys(spark):
     roots = spark.createDataFrame([("bad", "worse", 1)], "term string, root string, n bigint")
     swapped = [replace_terms(df, "id", "tokens", roots, limit=n).collect() for n in (1 << 20, 0)]
     assert sorted(swapped[0], key=str) == sorted(swapped[1], key=str) and len(swapped[0]) == 5
+
+
+def test_large_vocabulary_counts_documents_where_they_are(spark):
+    """Beyond a broadcast, documents are shuffled as one row each and never as terms before they are counted."""
+    docs = spark.createDataFrame([(i, ["a", "b", "b", f"t{i % 7}"]) for i in range(60)], "id long, terms array<string>")
+    known = fit_vocabulary(docs, "terms", max_share=1.0)
+    small, large = (tfidf(docs, "id", "terms", known, limit=n) for n in (1 << 26, 0))
+    rows = [sorted((r.id, r.term, round(r.weight, 9)) for r in t.collect()) for t in (small, large)]
+    assert rows[0] == rows[1] and len(rows[0]) == 180
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(id#", plan) and not re.search(r"hashpartitioning\(id#\d+L, term#", plan)
+
+
+def test_only_documents_of_a_split_have_terms(spark, small):
+    from assayer.plans import headlines, standins
+
+    rows = headlines.term_arrays(spark, small)
+    assert rows.where("split IS NULL").isEmpty()
+    assert rows.count() == standins.headlines(spark, small).count()
