@@ -100,7 +100,8 @@ def numbered_terms(rows: DataFrame, block_terms: int = BLOCK_TERMS) -> DataFrame
 class KeptRows:
     """Training rows ``(key, y, block, i, weight)``, dealt by document once; each document has a row for the bias.
 
-    ``open`` deals and keeps them in memory and on disk; a lost part is read again from the settled table.
+    ``open`` deals and keeps them in memory and on disk; a lost part is dealt again. What is kept of ``y`` and ``weight``
+    is their product ``signed``, whose sum over a document is the margin times the side.
     """
 
     rows: DataFrame
@@ -109,7 +110,8 @@ class KeptRows:
     held: DataFrame | None = None
 
     def __enter__(self) -> KeptRows:
-        dealt = self.rows.repartition(self.key).sortWithinPartitions(self.key)
+        signed = (F.col("y") * F.col("weight")).alias("signed")
+        dealt = self.rows.select(self.key, "block", "i", signed).repartition(self.key).sortWithinPartitions(self.key)
         self.held = dealt.persist(StorageLevel.MEMORY_AND_DISK)
         return self
 
@@ -122,24 +124,24 @@ class KeptRows:
         With one block the margin is a sum over the document's rows where they are. With more, each block's part of
         the margins is summed in place, and only these parts and the misjudged documents are shuffled.
         """
-        key, correction = self.key, (F.col("y") * F.col("weight")).alias("correction")
-        product = F.col("weight") * F.col("w")
+        key, correction = self.key, F.col("signed").alias("correction")
+        product = F.col("signed") * F.col("w")
         if self.blocks == 1:
             joined = self.held.join(F.broadcast(model.select("i", "w")), "i")
             margin = F.sum(product).over(W.partitionBy(key))
-            return joined.withColumn("margin", margin).where(F.col("y") * F.col("margin") <= 0).select("i", correction)
+            return joined.withColumn("margin", margin).where(F.col("margin") <= 0).select("i", correction)
         parts = []
         for first in range(0, self.blocks, BLOCKS_AT_ONCE):
             some = [
                 self.held.where(F.col("block") == b)
                 .join(F.broadcast(model.where(F.col("block") == b).select("i", "w")), "i")
-                .groupBy(key, "y")
+                .groupBy(key)
                 .agg(F.sum(product).alias("part"))
                 for b in range(first, min(self.blocks, first + BLOCKS_AT_ONCE))
             ]
             parts.append(settle(reduce(DataFrame.unionByName, some), "margins"))
-        sums = reduce(DataFrame.unionByName, parts).groupBy(key, "y").agg(F.sum("part").alias("margin"))
-        wrong = settle(sums.where(F.col("y") * F.col("margin") <= 0).select(key), "misjudged")
+        sums = reduce(DataFrame.unionByName, parts).groupBy(key).agg(F.sum("part").alias("margin"))
+        wrong = settle(sums.where(F.col("margin") <= 0).select(key), "misjudged")
         for part in parts:
             discard(part)
         return self.held.join(wrong, key, "left_semi").select("i", correction)
@@ -169,8 +171,7 @@ def fit_summed(
         key, "y", F.lit(0).alias("block"), F.lit(BIAS_NUMBER).cast("bigint").alias("i"), F.lit(1.0).alias("weight")
     )
     known = join_terms(terms, numbered, "term", "n", key).select(key, "y", "block", "i", "weight")
-    rows = settle(known.unionByName(bias_rows), "training-rows")
-    discard(terms)
+    rows = known.unionByName(bias_rows)
     bias = terms.sparkSession.createDataFrame(
         [(0, BIAS_NUMBER, 0.0, size)], "block int, i bigint, w double, hits bigint"
     )
@@ -194,6 +195,7 @@ def fit_summed(
             wrong = model.where(F.col("i") == BIAS_NUMBER).first()["hits"]
             if stopper.done(wrong / size):
                 break
+    discard(terms)
     named = numbered.select("term", "n", "i").unionByName(
         terms.sparkSession.createDataFrame([(BIAS, size, BIAS_NUMBER)], "term string, n bigint, i bigint")
     )

@@ -127,12 +127,13 @@ def tree_stump_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 def perceptron_sides(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Split documents with their weights under the training vocabulary."""
-    rows = settle(headlines.term_arrays(spark, folder), "terms")
+    rows = headlines.term_arrays(spark, folder)  # read from stored lemmas, so the longer arrays are not stored too
     vocabulary = fit_vocabulary(headlines.only(rows, "train"), "terms")
+    sides = settle(rows.select("id", "label", "split"), "sides")
     weights = settle(
-        tfidf(rows, "id", "terms", vocabulary).join(rows.select("id", "split"), "id"), "weights"
+        tfidf(rows, "id", "terms", vocabulary).join(sides.select("id", "split"), "id"), "weights"
     )
-    return {"rows": rows.select("id", "label", "split"), "weights": weights}
+    return {"rows": sides, "weights": weights}
 
 
 SUMMED_EPOCHS = 3

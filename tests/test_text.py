@@ -220,14 +220,15 @@ def test_forms_agree_on_null_arrays_and_repeated_keys(spark):
 
 
 def test_large_vocabulary_counts_documents_where_they_are(spark):
-    """Beyond a broadcast, documents are shuffled as one row each and never as terms before they are counted."""
-    docs = spark.createDataFrame([(i, ["a", "b", "b", f"t{i % 7}"]) for i in range(60)], "id long, terms array<string>")
+    """Beyond a broadcast, terms are counted where their documents are, before any shuffle."""
+    odd = [(60, []), (61, None), (62, [None, "a", None])]
+    docs = spark.createDataFrame([*[(i, ["a", "b", "b", f"t{i % 7}"]) for i in range(60)], *odd], "id long, terms array<string>")
     known = fit_vocabulary(docs, "terms", max_share=1.0)
     small, large = (tfidf(docs, "id", "terms", known, limit=n) for n in (1 << 26, 0))
     rows = [sorted((r.id, r.term, round(r.weight, 9)) for r in t.collect()) for t in (small, large)]
-    assert rows[0] == rows[1] and len(rows[0]) == 180
+    assert rows[0] == rows[1] and len(rows[0]) == 181
     plan = large._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"hashpartitioning\(id#", plan) and not re.search(r"hashpartitioning\(id#\d+L, term#", plan)
+    assert not re.search(r"hashpartitioning\(id#\d+L, term#", plan)
 
 
 def test_only_documents_of_a_split_have_terms(spark, small):
