@@ -242,3 +242,23 @@ def test_files_of_a_batch_have_models_of_their_own(spark, tmp_path, incoming):
     write(incoming / "sub", "late.csv", 90, seed=8)
     retrainer(read_csv(spark, str(incoming / "sub")).withColumn("file", F.lit("late")), max(batches) + 1)
     assert together.pointer().last == 8 and together.promoted()[0] == 8
+
+
+def test_large_batches_are_fitted_in_small_parts(spark, tmp_path, incoming, monkeypatch):
+    from assayer.streaming import retrain
+
+    monkeypatch.setattr(retrain, "TASK_ROWS", 20)
+    fitted, fit = [], retrain.RandomForestClassifier.fit
+    monkeypatch.setattr(retrain.RandomForestClassifier, "fit", lambda self, rows: fitted.append(rows) or fit(self, rows))
+    write(incoming, "a.csv", 120, seed=1)
+    batch = read_csv(spark, str(incoming)).coalesce(1)
+    store = ModelStore(spark, str(tmp_path / "store"))
+    parts = []
+    monkeypatch.setattr(retrain, "evaluate_model", lambda model, *a: parts.append(fitted[-1].rdd.glom().map(len).collect()) or fail())
+    with pytest.raises(ZeroDivisionError):
+        Retrainer(store, trees=3)(batch, 0)
+    assert len(parts[0]) >= 4 and max(parts[0]) <= 21 and 70 < sum(parts[0]) < 120
+
+
+def fail():
+    return 1 / 0
