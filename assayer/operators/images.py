@@ -10,6 +10,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -109,17 +110,19 @@ def image_features(
 
 def pixel_rows(resized: DataFrame, carry: Sequence[str], side: int = IMAGE_SIDE) -> DataFrame:
     """Pixel rows ``(x, y, r, g, b)`` of resized images; for inspection, not for scale."""
-
-    def channel(offset: int):
-        return F.conv(F.substring("pixel", 2 * offset + 1, 2), 16, 10).cast("int")
-
-    # The bytes are written out once per image and cut into pixels, so the work is linear.
-    pixels = F.regexp_extract_all(F.hex("rgb"), F.lit("[0-9A-F]{6}"), F.lit(0))
-    return resized.select(*carry, F.posexplode(pixels).alias("pos", "pixel")).select(
-        *carry,
-        (F.col("pos") % side).alias("x"),
-        F.expr(f"int(pos div {side})").alias("y"),
-        channel(0).alias("r"),
-        channel(1).alias("g"),
-        channel(2).alias("b"),
-    )
+    kept = resized.where(F.col("rgb").isNotNull()).select(*carry, "rgb")
+    names, cells = ["x", "y", "r", "g", "b"], side * side
+    schema = T.StructType([kept.schema[c] for c in carry] + [T.StructField(n, T.IntegerType()) for n in names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = max(1, OUTPUT_BYTES // (cells * 4 * len(schema)))
+        for batch in batches:
+            for part in (batch.slice(i, rows) for i in range(0, batch.num_rows, rows)):
+                data = np.frombuffer(b"".join(part.column(len(carry)).to_pylist()), np.uint8).reshape(-1, 3)
+                pos = np.tile(np.arange(cells, dtype=np.int32), part.num_rows)
+                owner = pa.array(np.repeat(np.arange(part.num_rows), cells))
+                columns = [part.column(i).take(owner) for i in range(len(carry))]
+                columns += [pa.array(v.astype(np.int32)) for v in (pos % side, pos // side, *data.T)]
+                yield pa.RecordBatch.from_arrays(columns, [*carry, *names])
+
+    return kept.mapInArrow(run, schema)

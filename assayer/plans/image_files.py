@@ -12,9 +12,11 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayer.plans.standins import leaves
+from assayer.plans.standins import pixel_arrays
 from assayer.session import new_folder
 
+DEALT = 4  # tasks a core that write images
+
 
 def png(rgb: np.ndarray) -> bytes:
     """A minimal PNG of an (H, W, 3) array: lossless, so pixels survive the round trip."""
@@ -31,19 +33,22 @@ def png(rgb: np.ndarray) -> bytes:
 def write_images(images: DataFrame, root: str, side: int) -> int:
     """Write ``(image_id, class, cells)`` as ``root/<class>/<image_id>.jpg``; the number written.
 
-    Tasks write straight to the shared folder. Every seventh image gets an upper-case
+    ``cells`` are an image's channel values in (y, x, channel) order. Tasks write straight to the shared folder. Every seventh image gets an upper-case
     ending, and every eleventh a broken neighbour file.
     """
     schema = "image_id bigint"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         target, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+        there = set()
         for batch in batches:
             for i, name, cells in zip(batch["image_id"], batch["class"], batch["cells"]):
                 folder = f"{base}/{name}"
-                target.create_dir(folder, recursive=True)
+                if name not in there:
+                    target.create_dir(folder, recursive=True)
+                    there.add(name)
                 ending = "JPG" if i % 7 == 0 else "jpg"
-                rgb = np.array([list(c) for c in cells], dtype=np.uint8).reshape(side, side, 3)
+                rgb = np.asarray(cells).astype(np.uint8).reshape(side, side, 3)
                 with target.open_output_stream(f"{folder}/{i}.{ending}") as out:
                     out.write(png(rgb))
                 if i % 11 == 0:
@@ -57,14 +62,10 @@ def write_images(images: DataFrame, root: str, side: int) -> int:
 
 
 def leaf_image_folder(spark: SparkSession, folder: str) -> str:
-    """A fresh folder with the 8 x 8 leaf images as files."""
-    cell = F.struct("y", "x", F.array("r", "g", "b").alias("rgb"))
-    images = (
-        leaves(spark, folder)
-        .groupBy("image_id", F.concat(F.lit("class_"), F.col("label")).alias("class"))
-        .agg(F.array_sort(F.collect_list(cell)).alias("cells"))
-        .select("image_id", "class", F.col("cells.rgb").alias("cells"))
-    )
+    """A fresh folder with the 8 x 8 leaf images as files. An image is one row all the way, so nothing is shuffled but
+    whole rows, dealt out as the table may have fewer partitions than there are cores."""
+    rows = pixel_arrays(spark, folder).repartition(spark.sparkContext.defaultParallelism * DEALT, "image_id")
+    images = rows.select("image_id", F.concat(F.lit("class_"), F.col("label") % 3).alias("class"), "cells")
     # Without a scheme the path belongs to the default file system, which tasks must be told.
     path = spark._jvm.org.apache.hadoop.fs.Path(new_folder(spark, "leaf-images"))
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -16,8 +16,10 @@ from assayer.operators.images import (
     resize,
     resize_images,
 )
-from assayer.operators.vectors import assemble, fit_scaler, scale, with_class_codes, with_label_codes
+from assayer.operators.vectors import assemble, fit_scaler, pixel_vectors, scale, with_class_codes, with_label_codes
+from assayer.plans import standins
 from assayer.plans.image_files import png
+from assayer.sources import images as scans
 from assayer.sources.images import readable, scan_images, unreadable
 
 
@@ -134,6 +136,35 @@ def test_output_is_cut_by_bytes(spark, folder, monkeypatch):
     assert sorted(map(str, image_features(resize_images(rows, ["path"], 8), ["path"], 8).collect())) == whole
 
 
+def test_small_files_share_a_task(spark, tmp_path, monkeypatch):
+    (tmp_path / "c").mkdir()
+    for i in range(300):
+        (tmp_path / "c" / f"{i}.jpg").write_bytes(b"no image")
+    monkeypatch.setattr(scans, "LEAST_DEALT", 0)
+    found = scan_images(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == 1 and unreadable(found).count() == 300
+
+
+def test_images_are_written_from_one_row_each(spark):
+    embeddings = "/root/testdata/sf0.001"
+    rows = standins.pixel_arrays(spark, embeddings)
+    assert "Generate" not in rows._jdf.queryExecution().toString()
+    flat = pixel_vectors(standins.pixels(spark, embeddings), ["image_id"]).collect()
+    want = {r["image_id"]: [round(v * 255) for v in r["features"]] for r in flat}
+    assert {r["image_id"]: r["cells"] for r in rows.collect()} == want
+
+
+def test_pixel_rows_are_cut_from_arrow_batches(spark, monkeypatch):
+    cells = [(1, bytes(range(12))), (None, bytes(12)), (3, None)]
+    df = spark.createDataFrame(cells, "image_id bigint, rgb binary")
+    monkeypatch.setattr(images, "OUTPUT_BYTES", 1)
+    rows = pixel_rows(df, ["image_id"], 2)
+    assert "regexp" not in rows._jdf.queryExecution().toString()
+    assert [tuple(r) for r in rows.collect()] == [
+        (1, 0, 0, 0, 1, 2), (1, 1, 0, 3, 4, 5), (1, 0, 1, 6, 7, 8), (1, 1, 1, 9, 10, 11),
+        (None, 0, 0, 0, 0, 0), (None, 1, 0, 0, 0, 0), (None, 0, 1, 0, 0, 0), (None, 1, 1, 0, 0, 0)]
+
+
 def test_scaler_uses_population_deviation_and_centres_constants(spark):
     df = spark.createDataFrame([([1.0, 5.0],), ([3.0, 5.0],)], "features array<double>")
     got = [r["scaled"] for r in scale(df, "features", fit_scaler(df, "features")).collect()]
