@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,10 +11,10 @@ from assayer.functions.fixed_values import INDICATOR_TERMS
 from assayer.functions.stem import porter_stem
 from assayer.functions.text import bigrams, ngram_terms, words
 from assayer.operators import lexicon as lex
-from assayer.operators import metrics, sweep
+from assayer.operators import metrics, sweep, tokens
 from assayer.operators.lookup import join_terms
 from assayer.operators.roots import noun_dictionary, stem_dictionary
-from assayer.operators.tfidf import fit_vocabulary, tfidf, top_term_lists
+from assayer.operators.tfidf import counted_terms, fit_vocabulary, tfidf, top_term_lists
 from assayer.operators.tokens import dictionary_for, replace_terms
 
 # Examples printed in the 1980 paper.
@@ -237,3 +238,20 @@ def test_only_documents_of_a_split_have_terms(spark, small):
     rows = headlines.term_arrays(spark, small)
     assert rows.where("split IS NULL").isEmpty()
     assert rows.count() == standins.headlines(spark, small).count()
+
+
+def test_batches_are_cut_by_their_terms(spark, monkeypatch):
+    docs = [(1, ["a", "bs"]), (2, None), (3, ["bs"] * 5), (4, []), (5, ["c"]), (6, ["c", "a"])]
+    df = spark.createDataFrame(docs, "id bigint, tokens array<string>").coalesce(1)
+    roots = spark.createDataFrame([("bs", "b")], "term string, root string")
+
+    def results():
+        swapped = replace_terms(df, "id", "tokens", dictionary_for(df, "tokens", roots))
+        return swapped.orderBy("id").collect(), counted_terms(swapped, "id", "tokens").orderBy("id", "term").collect()
+
+    whole = results()
+    monkeypatch.setattr(tokens, "TERMS_AT_ONCE", 3)
+    batch = pa.RecordBatch.from_arrays([pa.array([d[1] for d in docs], pa.list_(pa.string()))], ["tokens"])
+    assert [p.num_rows for p in tokens.pieces(batch, 0)] == [2, 1, 3]
+    assert results() == whole
+    assert [r["tokens"] for r in whole[0]] == [["a", "b"], None, ["b"] * 5, [], ["c"], ["c", "a"]]
