@@ -39,11 +39,15 @@ FIT_ROWS = 2_000  # most labelled rows that classifiers are tuned and fitted on;
 
 
 def clinical_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Imputed, assembled training rows with folds, at most ``FIT_ROWS`` of them, and all test rows."""
-    filled = impute(clinical(spark, folder), SENTINELS)
-    rows = hash_split(assemble(filled, FEATURES), "id").select("id", "features", "outcome", "split")
-    train = bounded(headlines.only(rows, "train"), "id", FIT_ROWS)
-    return with_folds(train, "id", FOLDS), headlines.only(rows, "test")
+    """Imputed, assembled training rows with folds, at most ``FIT_ROWS`` of them, and all test rows.
+
+    No filter gets below the assembler, which may raise, so rows are chosen first and only those of a side assembled.
+    """
+    rows = hash_split(impute(clinical(spark, folder), SENTINELS), "id").select("id", *FEATURES, "outcome", "split")
+    train = assemble(bounded(headlines.only(rows, "train"), "id", FIT_ROWS), FEATURES)
+    test = assemble(headlines.only(rows, "test"), FEATURES)
+    kept = ["id", "features", "outcome", "split"]
+    return with_folds(train.select(*kept), "id", FOLDS), test.select(*kept)
 
 
 def tuned(name: str):

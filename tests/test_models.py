@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from assayer.functions import fixed_values as fixed
 from assayer.operators import classifiers, metrics, perceptron, tuning
 from assayer.operators.split import with_folds
+from assayer.plans import models as plans
 
 
 @pytest.fixture
@@ -217,3 +218,16 @@ def test_layer_sweep_keeps_the_best(noisy):
     best = max(rows, key=lambda r: (r["f1"], -r["grid_pos"]))
     assert model.getLayers() == [2, *map(int, best["hidden_layers"].split(",")), 2]
     assert not np.isnan(best["f1"])
+
+
+def test_only_a_sides_rows_are_assembled(spark, monkeypatch):
+    sizes, assemble = [], plans.assemble
+
+    def counted(rows, columns):
+        sizes.append(rows.count())
+        return assemble(rows, columns)
+
+    monkeypatch.setattr(plans, "assemble", counted)
+    monkeypatch.setattr(plans, "FIT_ROWS", 50)
+    train, test = plans.clinical_sides(spark, "/root/testdata/sf0.001")
+    assert sizes == [50, test.count()] and train.count() == 50 and train.columns == [*test.columns, "fold"]
