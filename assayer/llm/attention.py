@@ -52,11 +52,23 @@ def log_softmax_at(logits: np.ndarray, pick: np.ndarray) -> np.ndarray:
     return own - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
 
 
-def softmax(logits: np.ndarray) -> np.ndarray:
+def summed_rows(place: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """``size`` rows, of which each is the sum of those ``rows`` that have its number as their place."""
+    out, order = np.zeros((size, rows.shape[1]), rows.dtype), np.argsort(place.astype(np.uint16), kind="stable")
+    placed = place[order]
+    first = np.flatnonzero(np.r_[True, placed[1:] != placed[:-1]][: len(placed)])
+    if len(first):
+        out[placed[first]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
+def softmax_errors(logits: np.ndarray, pick: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Gradient by the logits, which it overwrites, of each row's negative log softmax at its ``pick``, times its weight."""
     if len(logits) and max(logits.max(), -logits.min()) > 60:
-        logits = logits - logits.max(axis=1, keepdims=True)
-    p = np.exp(logits)
-    p /= (p @ np.ones(p.shape[1], p.dtype))[:, None]
+        logits -= logits.max(axis=1, keepdims=True)
+    p = np.exp(logits, out=logits)
+    p *= (weight / (p @ np.ones(p.shape[1], p.dtype)))[:, None]
+    p[np.arange(len(p)), pick] -= weight
     return p
 
 
@@ -111,20 +123,27 @@ class Attention:
         w, s = self.w, self.hidden(inputs)
         rank, weight = rank.ravel(), (counted.ravel() / max(1, counted.sum())).astype(np.float32)
         classes = np.minimum(rank // MEMBERS, CLASSES - 1)
-        p = softmax(s["top"] @ w["out"] + w["bias"])
-        p[np.arange(len(p)), classes] -= 1
-        p *= weight[:, None]
-        g = {"out": s["top"].T @ p, "bias": p.sum(axis=0)}
+        logits = s["top"] @ w["out"]
+        logits += w["bias"]
+        p = softmax_errors(logits, classes, weight)
+        g = {"out": s["top"].T @ p, "bias": np.ones(len(p), p.dtype) @ p}
         g["within"], g["inner"] = np.zeros_like(w["within"]), np.zeros_like(w["inner"])
-        d_within = np.zeros_like(s["top"])
+        # Positions lie by class, so that all but the products is done for all classes at once; the last class stays 0.
         order, groups = by_class(classes)
+        order = order[: groups[-1][1].stop if groups else 0]
+        top, q = s["top"][order], np.empty((len(order), MEMBERS), s["top"].dtype)
         for c, part in groups:
-            rows = order[part]
-            q = softmax(s["top"][rows] @ w["within"][c] + w["inner"][c])
-            q[np.arange(len(q)), rank[rows] % MEMBERS] -= 1
-            q *= weight[rows][:, None]
-            g["within"][c], g["inner"][c] = s["top"][rows].T @ q, q.sum(axis=0)
-            d_within[rows] = q @ w["within"][c].T
+            np.matmul(top[part], w["within"][c], out=q[part])
+        q += w["inner"][classes[order]]
+        q = softmax_errors(q, rank[order] % MEMBERS, weight[order])
+        d_inside = np.empty_like(top)
+        for c, part in groups:
+            np.matmul(top[part].T, q[part], out=g["within"][c])
+            np.matmul(q[part], w["within"][c].T, out=d_inside[part])
+        if groups:
+            g["inner"][[c for c, _ in groups]] = np.add.reduceat(q, [part.start for _, part in groups], axis=0)
+        d_within = np.zeros_like(s["top"])
+        d_within[order] = d_inside
         d_top = p @ w["out"].T + d_within
         g["down"] = s["up"].T @ d_top
         d_up = (d_top @ w["down"].T) * (s["up"] > 0)
@@ -134,14 +153,14 @@ class Attention:
         d_seen = (d_h @ w["mix"].T).reshape(s["seen"].shape)
         d_v = np.matmul(s["a"].transpose(0, 2, 1), d_seen)
         d_a = np.matmul(d_seen, s["v"].transpose(0, 2, 1))
-        d_s = s["a"] * (d_a - (d_a * s["a"]).sum(axis=2, keepdims=True))
+        both = d_a * s["a"]
+        d_s = both - s["a"] * (both.reshape(-1, WINDOW) @ np.ones(WINDOW, both.dtype)).reshape(*both.shape[:2], 1)
         d_q, d_k = np.matmul(d_s, s["k"]) * np.float32(WIDTH**-0.5), np.matmul(d_s.transpose(0, 2, 1), s["q"])
         d_qkv = np.concatenate([d_q, d_k, d_v], axis=2).reshape(-1, 3 * WIDTH)
         g["qkv"] = s["x"].reshape(-1, WIDTH).T @ d_qkv
         d_x = d_h.reshape(s["x"].shape) + (d_qkv @ w["qkv"].T).reshape(s["x"].shape)
         g["places"] = d_x.sum(axis=0)
-        g["tokens"] = np.zeros_like(w["tokens"])
-        np.add.at(g["tokens"], inputs.ravel(), d_x.reshape(-1, WIDTH))
+        g["tokens"] = summed_rows(inputs.ravel(), d_x.reshape(-1, WIDTH), 2 + OWN)
         return g
 
     def begin(self, counts: np.ndarray) -> Attention:
@@ -177,11 +196,21 @@ class Attention:
         batches = visited(len(inputs), size, done % over * size, (seed, done // over))
         for step, rows in zip(range(done + 1, done + steps + 1), batches):
             rate = RATE * (1 - (step - 1) / STEPS) * min(1.0, step / 50)
+            near, far = 1 - 0.9**step, 1 - 0.99**step
             for name, g in self.gradients(inputs[rows], rank[rows], counted[rows]).items():
-                self.first[name] += np.float32(0.1) * (g - self.first[name])
-                self.second[name] += np.float32(0.01) * (g * g - self.second[name])
-                a, b = self.first[name] / (1 - 0.9**step), self.second[name] / (1 - 0.99**step)
-                self.w[name] -= (rate * a / (np.sqrt(b) + 1e-8)).astype(np.float32)
+                first, second, square = self.first[name], self.second[name], g * g
+                g -= first
+                g *= np.float32(0.1)
+                first += g
+                square -= second
+                square *= np.float32(0.01)
+                second += square
+                np.multiply(second, np.float32(1 / far), out=square)
+                np.sqrt(square, out=square)
+                square += np.float32(1e-8)
+                np.divide(first, square, out=square)
+                square *= np.float32(rate / near)
+                self.w[name] -= square
         return self
 
 

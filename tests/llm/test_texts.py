@@ -72,6 +72,29 @@ def test_gradients_match_differences():
         model.w[name][at] = kept
 
 
+def test_classes_of_a_step_are_weighed_together(monkeypatch):
+    rng = np.random.default_rng(4)
+    inputs = rng.integers(0, 900, (8, attention.WINDOW))
+    model, calls, exp = attention.Attention(), [], np.exp
+    monkeypatch.setattr(np, "exp", lambda *a, **k: calls.append(1) or exp(*a, **k))
+    for most in (attention.MEMBERS, attention.OWN, attention.OWN + 50):  # one class, nearly all, the last one too
+        calls.clear()
+        model.gradients(inputs, rng.integers(0, most, inputs.shape), rng.random(inputs.shape) < 0.8)
+        assert len(calls) == 3  # attention, classes, members
+    monkeypatch.undo()
+    rare = model.gradients(inputs, np.full(inputs.shape, attention.OWN), np.ones(inputs.shape, bool))
+    assert not rare["within"].any() and not rare["inner"].any()
+
+
+def test_rows_are_summed_by_place():
+    rng = np.random.default_rng(5)
+    place, rows = rng.integers(0, 6, 40), rng.standard_normal((40, 3))
+    expected = np.zeros((9, 3))
+    np.add.at(expected, place, rows)
+    assert attention.summed_rows(place, rows, 9) == pytest.approx(expected)
+    assert not attention.summed_rows(place[:0], rows[:0], 9).any()
+
+
 def test_model_is_causal_and_proper():
     model = attention.Attention()
     a = np.arange(attention.WINDOW)[None, :] + 5
