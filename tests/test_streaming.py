@@ -197,6 +197,14 @@ def test_the_sliced_query_has_fewer_batches_than_files(spark, small):
     assert row["batches"] < row["files"] == files and BATCH_BYTES > 0
 
 
+def test_batches_do_not_follow_the_number_of_files(spark):
+    """Each batch has jobs and logs of its own, so 30 files of 1.3 MB share one."""
+    stream, files = sliced_stream(spark, "/root/testdata/sf0.1")
+    found = collected(spark, stream, lambda batch: batch.groupBy("file").agg(F.count("*").alias("n")))
+    row = found.agg(F.count_distinct("batch_id").alias("batches"), F.count("*").alias("files"), F.sum("n").alias("n")).first()
+    assert row["batches"] == 1 and row["files"] == files == 30 and row["n"] > 590_000
+
+
 def test_headline_ids_follow_content(spark, tmp_path):
     texts = [("a", 1), ("a", 1), ("a", 0), (None, 1), ("", 1), ('say ""x""\nagain, "y"', 0), ("a", None), ("1|a", None)]
     texts += [("same", 1)] * 50
