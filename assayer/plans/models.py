@@ -269,7 +269,7 @@ def side_by_side(spark: SparkSession, folder: str) -> DataFrame:
     test = headlines.only(sides["rows"], "test")
     weights = headlines.only(sides["weights"], "test")
     learned = perceptron.predict(test.select("id"), weights, "id", models[best])
-    ruled = with_lexicon_rule(headlines.features(spark, folder), 0.0, 40, "label")
+    ruled = with_lexicon_rule(headlines.features(spark, folder, among=test), 0.0, 40, "label")
     return (
         test.select("id")
         .join(ruled, "id")

@@ -255,3 +255,27 @@ def test_batches_are_cut_by_their_terms(spark, monkeypatch):
     assert [p.num_rows for p in tokens.pieces(batch, 0)] == [2, 1, 3]
     assert results() == whole
     assert [r["tokens"] for r in whole[0]] == [["a", "b"], None, ["b"] * 5, [], ["c"], ["c", "a"]]
+
+
+def test_side_by_side_rule_cuts_texts_once_and_counts_test_documents_only(spark, small, monkeypatch):
+    from assayer.plans import headlines
+
+    stored, counted = [], []
+    settle, plain = headlines.settle, headlines.lex.lexicon_features
+    monkeypatch.setattr(headlines, "settle", lambda df, name: stored.append(name) or settle(df, name))
+    monkeypatch.setattr(
+        headlines.lex, "lexicon_features", lambda df, *a, **k: counted.append(df.count()) or plain(df, *a, **k)
+    )
+    rows = headlines.side_by_side_rule(spark, small).count()
+    assert stored.count("tokens") == 1 and counted == [rows] and rows > 0
+
+
+def test_features_among_ids_are_those_of_all_rows_with_them(spark, small):
+    from assayer.plans import headlines, standins
+
+    rows = headlines.stored_tokens(spark, small)
+    rows = rows.unionByName(rows.where("id % 3 = 0").withColumn("label", 1 - F.col("label"))).cache()  # an id twice, each with a label
+    terms, some = standins.distinct_terms(rows), rows.where("id % 2 = 0")
+    all_of = headlines.features_of(rows, terms).join(some.select("id").distinct(), "id")
+    found = headlines.features_of(rows, terms, among=some)
+    assert sorted(found.collect()) == sorted(all_of.select(found.columns).collect()) and found.count() > 0
