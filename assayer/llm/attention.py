@@ -8,6 +8,7 @@ its share of the corpus counts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,8 @@ ROUNDS = 10  # after each, the weights of all shards are averaged
 RATE = 1e-2
 SEED = 5
 OWN = (CLASSES - 1) * MEMBERS  # ids that are members of a class
+SCALE = np.repeat(np.array([WIDTH**-0.5, 1, 1], np.float32), WIDTH)  # of queries, keys and values
+LINE = 64  # bytes of a line of the cache
 
 
 def id_ranks(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -44,6 +47,10 @@ def by_class(classes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
     return order, [(c, slice(edges[c], edges[c + 1])) for c in range(CLASSES - 1) if edges[c] < edges[c + 1]]
 
 
+def pieces(start: int, stop: int) -> Iterator[slice]:
+    return (slice(i, min(i + ROWS, stop)) for i in range(start, stop, ROWS))
+
+
 def log_softmax_at(logits: np.ndarray, pick: np.ndarray) -> np.ndarray:
     if len(logits) and logits.max() > 60:
         logits -= logits.max(axis=1, keepdims=True)
@@ -52,13 +59,31 @@ def log_softmax_at(logits: np.ndarray, pick: np.ndarray) -> np.ndarray:
     return own - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
 
 
-def summed_rows(place: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+class Room:
+    """Arrays by name that are used again: new ones of a step's size would each be taken from the system, page by page."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, shape: tuple[int, ...], dtype=np.float32) -> np.ndarray:
+        size, kept = math.prod(shape), self.held.get(name)
+        if kept is None or kept.size < size or kept.dtype != dtype:
+            room = np.empty(size + 2 * LINE, dtype)
+            skip = -room.ctypes.data % LINE // room.itemsize
+            kept = self.held[name] = room[skip : skip + size]
+        return kept[:size].reshape(shape)
+
+
+def summed_rows(place: np.ndarray, rows: np.ndarray, size: int, room: Room | None = None) -> np.ndarray:
     """``size`` rows, of which each is the sum of those ``rows`` that have its number as their place."""
-    out, order = np.zeros((size, rows.shape[1]), rows.dtype), np.argsort(place.astype(np.uint16), kind="stable")
+    room = room or Room()
+    out, order = room("summed", (size, rows.shape[1]), rows.dtype), np.argsort(place.astype(np.uint16), kind="stable")
+    out.fill(0)
     placed = place[order]
     first = np.flatnonzero(np.r_[True, placed[1:] != placed[:-1]][: len(placed)])
     if len(first):
-        out[placed[first]] = np.add.reduceat(rows[order], first, axis=0)
+        near = np.take(rows, order, axis=0, out=room("near", rows.shape, rows.dtype), mode="clip")
+        out[placed[first]] = np.add.reduceat(near, first, axis=0)
     return out
 
 
@@ -84,83 +109,105 @@ class Attention:
         self.w["bias"] = np.zeros(CLASSES, np.float32)
         self.w["inner"] = np.zeros((CLASSES, MEMBERS), np.float32)
         self.first, self.second = ({k: np.zeros_like(v) for k, v in self.w.items()} for _ in range(2))
+        self.room = Room()
         self.most = np.where(np.tri(WINDOW, dtype=bool), np.float32(30), np.float32(-30))  # later places get no weight
 
-    def hidden(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
-        w, n = self.w, len(inputs)
-        x = w["tokens"][inputs] + w["places"]
-        scaled = w["qkv"] * np.repeat(np.array([WIDTH**-0.5, 1, 1], w["qkv"].dtype), WIDTH)
-        q, k, v = np.split((x.reshape(-1, WIDTH) @ scaled).reshape(n, WINDOW, 3 * WIDTH), 3, axis=2)
-        a = np.matmul(q, k.transpose(0, 2, 1))
+    def hidden(self, inputs: np.ndarray, top: np.ndarray | None = None) -> dict[str, np.ndarray]:
+        """What the block makes of each position; all but ``top`` (into the array given, if any) is overwritten by the next call."""
+        w, n, size, kind = self.w, len(inputs), inputs.size, self.w["tokens"].dtype
+        room = lambda name, *shape: self.room(name, shape, kind)
+        x = np.take(w["tokens"], inputs, axis=0, out=room("x", n, WINDOW, WIDTH), mode="clip")
+        x += w["places"]
+        qkv = np.matmul(x.reshape(-1, WIDTH), w["qkv"] * SCALE, out=room("qkv", size, 3 * WIDTH))
+        q, k, v = np.split(qkv.reshape(n, WINDOW, 3 * WIDTH), 3, axis=2)
+        a = np.matmul(q, k.transpose(0, 2, 1), out=room("a", n, WINDOW, WINDOW))
         np.minimum(a, self.most, out=a)
         np.exp(a, out=a)
         a /= (a.reshape(-1, WINDOW) @ np.ones(WINDOW, a.dtype)).reshape(n, WINDOW, 1)
-        seen = np.matmul(a, v)
-        h = x + (seen.reshape(-1, WIDTH) @ w["mix"]).reshape(x.shape)
-        up = np.maximum(h.reshape(-1, WIDTH) @ w["up"], 0)
-        top = h.reshape(-1, WIDTH) + up @ w["down"]
+        seen = np.matmul(a, v, out=room("seen", n, WINDOW, WIDTH))
+        h = np.matmul(seen.reshape(-1, WIDTH), w["mix"], out=room("h", size, WIDTH))
+        h += x.reshape(-1, WIDTH)
+        up = np.matmul(h, w["up"], out=room("up", size, HIDDEN))
+        np.maximum(up, 0, out=up)
+        top = np.matmul(up, w["down"], out=top)
+        top += h
         return {"x": x, "q": q, "k": k, "v": v, "a": a, "seen": seen, "h": h, "up": up, "top": top}
 
     def log_shares(self, top: np.ndarray, rank: np.ndarray) -> np.ndarray:
         """Natural log probability of the id of each rank; of the whole last class for rarer ids."""
-        classes = np.minimum(rank // MEMBERS, CLASSES - 1)
-        out = np.empty(len(top), top.dtype)
-        for part in (slice(i, i + ROWS) for i in range(0, len(top), ROWS)):
-            logits = top[part] @ self.w["out"]
-            logits += self.w["bias"]
+        w, kind, classes = self.w, top.dtype, np.minimum(rank // MEMBERS, CLASSES - 1)
+        out = np.empty(len(top), kind)
+        for part in pieces(0, len(top)):
+            logits = np.matmul(top[part], w["out"], out=self.room("logits", (part.stop - part.start, CLASSES), kind))
+            logits += w["bias"]
             out[part] = log_softmax_at(logits, classes[part])
         order, groups = by_class(classes)
-        top, member = top[order], rank[order] % MEMBERS
+        top, member = np.take(top, order, axis=0, out=self.room("sorted", top.shape, kind), mode="clip"), rank[order] % MEMBERS
         inner = np.zeros(len(order), np.float32)
-        for c, part in groups:
-            logits = top[part] @ self.w["within"][c]
-            logits += self.w["inner"][c]
+        for c, part in ((c, part) for c, all_of in groups for part in pieces(all_of.start, all_of.stop)):
+            logits = np.matmul(top[part], w["within"][c], out=self.room("logits", (part.stop - part.start, MEMBERS), kind))
+            logits += w["inner"][c]
             inner[part] = log_softmax_at(logits, member[part])
         out[order] += inner
         return out
 
     def gradients(self, inputs: np.ndarray, rank: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
-        w, s = self.w, self.hidden(inputs)
+        """Gradients of the mean negative log probability; the next call overwrites them."""
+        w, n, size, kind = self.w, len(inputs), inputs.size, self.w["tokens"].dtype
+        room = lambda name, *shape: self.room(name, shape, kind)
+        s = self.hidden(inputs, room("top", size, WIDTH))
         rank, weight = rank.ravel(), (counted.ravel() / max(1, counted.sum())).astype(np.float32)
         classes = np.minimum(rank // MEMBERS, CLASSES - 1)
-        logits = s["top"] @ w["out"]
-        logits += w["bias"]
-        p = softmax_errors(logits, classes, weight)
-        g = {"out": s["top"].T @ p, "bias": np.ones(len(p), p.dtype) @ p}
-        g["within"], g["inner"] = np.zeros_like(w["within"]), np.zeros_like(w["inner"])
+        g = {"out": np.zeros_like(w["out"]), "bias": np.zeros_like(w["bias"])}
+        d_top = room("d_top", size, WIDTH)
+        for part in pieces(0, size):
+            top = s["top"][part]
+            logits = np.matmul(top, w["out"], out=room("logits", len(top), CLASSES))
+            logits += w["bias"]
+            p = softmax_errors(logits, classes[part], weight[part])
+            g["out"] += top.T @ p
+            g["bias"] += np.ones(len(top), kind) @ p
+            np.matmul(p, w["out"].T, out=d_top[part])
+        g["within"], g["inner"] = room("d_within", *w["within"].shape), np.zeros_like(w["inner"])
+        g["within"].fill(0)
         # Positions lie by class, so that all but the products is done for all classes at once; the last class stays 0.
         order, groups = by_class(classes)
         order = order[: groups[-1][1].stop if groups else 0]
-        top, q = s["top"][order], np.empty((len(order), MEMBERS), s["top"].dtype)
+        top = np.take(s["top"], order, axis=0, out=room("sorted", len(order), WIDTH), mode="clip")
+        q = room("members", len(order), MEMBERS)
         for c, part in groups:
-            np.matmul(top[part], w["within"][c], out=q[part])
-        q += w["inner"][classes[order]]
+            np.add(np.dot(top[part], w["within"][c], out=q[part]), w["inner"][c], out=q[part])
         q = softmax_errors(q, rank[order] % MEMBERS, weight[order])
-        d_inside = np.empty_like(top)
+        d_inside = room("d_inside", len(order), WIDTH)
         for c, part in groups:
-            np.matmul(top[part].T, q[part], out=g["within"][c])
-            np.matmul(q[part], w["within"][c].T, out=d_inside[part])
+            np.dot(top[part].T, q[part], out=g["within"][c])
+            np.dot(q[part], w["within"][c].T, out=d_inside[part])
         if groups:
             g["inner"][[c for c, _ in groups]] = np.add.reduceat(q, [part.start for _, part in groups], axis=0)
-        d_within = np.zeros_like(s["top"])
-        d_within[order] = d_inside
-        d_top = p @ w["out"].T + d_within
+        d_inside += np.take(d_top, order, axis=0, out=top, mode="clip")
+        d_top[order] = d_inside
         g["down"] = s["up"].T @ d_top
-        d_up = (d_top @ w["down"].T) * (s["up"] > 0)
-        g["up"] = s["h"].reshape(-1, WIDTH).T @ d_up
-        d_h = d_top + d_up @ w["up"].T
+        d_up = np.matmul(d_top, w["down"].T, out=room("d_up", size, HIDDEN))
+        d_up *= s["up"] > 0
+        g["up"] = s["h"].T @ d_up
+        d_h = np.matmul(d_up, w["up"].T, out=room("d_h", size, WIDTH))
+        d_h += d_top
         g["mix"] = s["seen"].reshape(-1, WIDTH).T @ d_h
-        d_seen = (d_h @ w["mix"].T).reshape(s["seen"].shape)
-        d_v = np.matmul(s["a"].transpose(0, 2, 1), d_seen)
-        d_a = np.matmul(d_seen, s["v"].transpose(0, 2, 1))
-        both = d_a * s["a"]
-        d_s = both - s["a"] * (both.reshape(-1, WINDOW) @ np.ones(WINDOW, both.dtype)).reshape(*both.shape[:2], 1)
-        d_q, d_k = np.matmul(d_s, s["k"]) * np.float32(WIDTH**-0.5), np.matmul(d_s.transpose(0, 2, 1), s["q"])
-        d_qkv = np.concatenate([d_q, d_k, d_v], axis=2).reshape(-1, 3 * WIDTH)
-        g["qkv"] = s["x"].reshape(-1, WIDTH).T @ d_qkv
-        d_x = d_h.reshape(s["x"].shape) + (d_qkv @ w["qkv"].T).reshape(s["x"].shape)
-        g["places"] = d_x.sum(axis=0)
-        g["tokens"] = summed_rows(inputs.ravel(), d_x.reshape(-1, WIDTH), 2 + OWN)
+        d_seen = np.matmul(d_h, w["mix"].T, out=room("d_seen", size, WIDTH)).reshape(n, WINDOW, WIDTH)
+        d_qkv = room("d_qkv", size, 3 * WIDTH)
+        d_q, d_k, d_v = np.split(d_qkv.reshape(n, WINDOW, 3 * WIDTH), 3, axis=2)
+        np.matmul(s["a"].transpose(0, 2, 1), d_seen, out=d_v)
+        d_s = np.matmul(d_seen, s["v"].transpose(0, 2, 1), out=room("d_s", n, WINDOW, WINDOW))
+        d_s *= s["a"]
+        s["a"] *= (d_s.reshape(-1, WINDOW) @ np.ones(WINDOW, kind)).reshape(n, WINDOW, 1)
+        d_s -= s["a"]
+        np.matmul(d_s, s["k"], out=d_q)
+        np.matmul(d_s.transpose(0, 2, 1), s["q"], out=d_k)
+        g["qkv"] = (s["x"].reshape(-1, WIDTH).T @ d_qkv) * SCALE
+        d_x = np.matmul(d_qkv, (w["qkv"] * SCALE).T, out=room("d_x", size, WIDTH))
+        d_x += d_h
+        g["places"] = d_x.reshape(n, WINDOW, WIDTH).sum(axis=0)
+        g["tokens"] = summed_rows(inputs.ravel(), d_x, 2 + OWN, self.room)
         return g
 
     def begin(self, counts: np.ndarray) -> Attention:
@@ -187,6 +234,8 @@ class Attention:
     def fit(self, inputs, rank, counted, done: int = 0, steps: int = STEPS, seed: int = SEED, over: int = STEPS) -> Attention:
         """``steps`` further steps of Adam, after ``done`` of ``STEPS``, on batches of windows; the rate falls linearly.
 
+        The moments are kept as sums, 10 and 100 times Adam's means, which takes fewer passes over them.
+
         In every ``over`` steps each window is visited once at least: batches follow shuffled passes over all windows and
         are larger than ``BATCH`` where so many steps of it would not reach them all.
         """
@@ -197,20 +246,19 @@ class Attention:
         for step, rows in zip(range(done + 1, done + steps + 1), batches):
             rate = RATE * (1 - (step - 1) / STEPS) * min(1.0, step / 50)
             near, far = 1 - 0.9**step, 1 - 0.99**step
+            damp, pace = np.float32(1e-7 * far**0.5), np.float32(rate * far**0.5 / near)
             for name, g in self.gradients(inputs[rows], rank[rows], counted[rows]).items():
-                first, second, square = self.first[name], self.second[name], g * g
-                g -= first
-                g *= np.float32(0.1)
+                first, second = self.first[name], self.second[name]
+                first *= np.float32(0.9)
                 first += g
-                square -= second
-                square *= np.float32(0.01)
-                second += square
-                np.multiply(second, np.float32(1 / far), out=square)
-                np.sqrt(square, out=square)
-                square += np.float32(1e-8)
-                np.divide(first, square, out=square)
-                square *= np.float32(rate / near)
-                self.w[name] -= square
+                g *= g
+                second *= np.float32(0.99)
+                second += g
+                np.sqrt(second, out=g)
+                g += damp
+                np.divide(first, g, out=g)
+                g *= pace
+                self.w[name] -= g
         return self
 
 

@@ -3,8 +3,8 @@
 Words are counted over all training texts: each task counts its own first, so what is shuffled follows the number
 of distinct words. The ``HEAD_WORDS`` most frequent words go to every task in a broadcast of that bound; a
 text's other words are joined with the counts, and no such word is frequent enough to fill a task.
-Subword ids are counted over all training texts too; they give the model its classes. The attention weights
-are fitted to all windows of all training texts, laid end to end, so that each id is learnt from. Windows are dealt by
+Each text is cut into words and encoded once; its subword ids are stored, counted, dealt in windows and scored from there.
+The ids' counts over all training texts give the model its classes. The attention weights are fitted to all windows of all training texts, laid end to end, so that each id is learnt from. Windows are dealt by
 hash into shards and turns; in each of ``ROUNDS`` rounds every shard takes the same number of steps over its windows of
 that turn, from the common weights in a task of its own, and the weights are averaged by place. All texts are scored whole, in overlapping windows that count each id once.
 """
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,18 +31,23 @@ WINDOW_SHARE = 1  # every window; a caller may lower it for trials, to ``LEAST_W
 SHARD_WINDOWS = 320_000  # as many as a shard's steps visit, each once
 STATE_ROW = 4096  # numbers of a shard's weights in a row
 TEXT_BYTES = 60  # a text has a window for some so many bytes, from which the number of shards follows
-ROWS_OUT = 50_000  # windows handed on at a time
+ROWS_OUT = 200_000  # windows dealt at a time
 FLUSH = 300_000
 SLICE = 500
 CHUNK = 4096  # windows whose ids are weighed at once
 PART = 256  # and of which the block is applied at once, to stay in a core's cache
 END = b""  # the end of a text, counted as a token; no word is empty
 END_ID = 0
+MARKS = 2  # of a window's places: no id before the text's first (-1), nothing after its last (-2)
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE))
 
 
 def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     for batch in batches:
-        for part in (batch.slice(i, SLICE) for i in range(0, batch.num_rows, SLICE)):
+        for part in slices(batch):
             yield part, [(t or b"").lower() for t in part.column("text").cast(pa.binary()).to_pylist()]
 
 
@@ -79,8 +84,26 @@ def head_words(words: DataFrame, most: int) -> dict[bytes, int]:
     return dict(zip(rows.column("word").to_pylist(), rows.column("times").to_pylist()))
 
 
+def id_kind(size: int) -> str:
+    """The numbers in which ids of a vocabulary of this size, and the marks of windows, are stored."""
+    return "<u2" if size + MARKS <= 1 << 16 else "<u4"
+
+
+def id_totals(totals: DataFrame, size: int) -> np.ndarray:
+    """Occurrences of each id by ``id, times`` of the tasks."""
+    counts = np.zeros(size)
+    for row in totals.groupBy("id").agg(F.sum("times").alias("times")).collect():  # one row per id of the vocabulary at most
+        counts[row["id"]] = row["times"]
+    return counts
+
+
+def id_rows(total: np.ndarray) -> pa.RecordBatch:
+    seen = np.flatnonzero(total)
+    return pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen].astype(np.int64))], ["id", "times"])
+
+
 def count_ids(words: DataFrame, vocabulary: str, size: int) -> np.ndarray:
-    """Occurrences of each subword id in the training texts, from the distinct words."""
+    """Occurrences of each subword id in the texts of these ``word, times``, where the texts' own ids are not stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, total = word_ids(vocabulary), np.zeros(size)
@@ -91,14 +114,29 @@ def count_ids(words: DataFrame, vocabulary: str, size: int) -> np.ndarray:
             lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             flat = np.frombuffer(b"".join(ids), "<u4")
             total += np.bincount(flat, np.repeat(times, lengths), size)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen].astype(np.int64))], ["id", "times"])
+        yield id_rows(total)
+
+    return id_totals(words.mapInArrow(run, "id bigint, times bigint"), size)
+
+
+def count_stored_ids(texts: DataFrame, size: int) -> np.ndarray:
+    """Occurrences of each subword id in the stored ``ids`` of all texts."""
+    kind = id_kind(size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for ids, _ in (laid_end_to_end(part.column("ids"), kind) for batch in batches for part in slices(batch)):
+            total += np.bincount(ids, minlength=size)
+        yield id_rows(total)
+
+    return id_totals(texts.select("ids").mapInArrow(run, "id bigint, times bigint"), size)
 
-    rows = words.mapInArrow(run, "id bigint, times bigint").groupBy("id").agg(F.sum("times").alias("times"))
-    counts = np.zeros(size)
-    for row in rows.collect():  # one row per id of the vocabulary at most
-        counts[row["id"]] = row["times"]
-    return counts
+
+def laid_end_to_end(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts of a column, laid end to end, and the texts' lengths."""
+    cells = column.to_pylist()
+    lengths = np.fromiter(map(len, cells), np.int64, len(cells)) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(cells), kind).astype(np.int32), lengths
 
 
 def encoded(texts: list[bytes], encoder) -> tuple[np.ndarray, np.ndarray]:
@@ -149,26 +187,41 @@ def turns_of(shards: int) -> int:
     return 1 if shards == 1 else min(ROUNDS, max(1, SHARD_WINDOWS // (BATCH * (STEPS // ROUNDS))))
 
 
-def sample_windows(training: DataFrame, vocabulary: str) -> tuple[DataFrame, int]:
-    """``turn, shard, key, ids`` for each window of the training texts; number of shards.
+def cells(rows: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Binary values, of which each is the bytes of the rows from one edge to the next."""
+    width = rows.nbytes // max(1, len(rows))
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * width).astype(np.int32)), pa.py_buffer(rows)])
 
-    ``ids`` has one place more than a window; the first is the id before it, or -1 at a text's start. Windows follow one
-    another without overlap, so each id, the end's too, is in one. The key follows from the row's hash and the window's
-    number, and deals it whatever the partitions. With a ``WINDOW_SHARE`` under 1 only that share of the keys is kept.
+
+def deal_windows(texts: DataFrame, size: int) -> tuple[DataFrame, int]:
+    """``turn, shard, keys, ids``: all windows of the stored texts, those of a task for a turn and shard side by side; number of shards.
+
+    Each of ``ids`` has one place more than a window; the first is the id before it, or -1 at a text's start, all stored
+    with ``MARKS`` added. Windows follow one another without overlap, so each id, the end's too, is in one. The key follows
+    from the row's mark and the window's number, and deals it whatever the partitions. With a ``WINDOW_SHARE`` under 1 only
+    that share of the keys is kept.
     """
-    size = F.greatest(F.lit(1), F.expr(f"octet_length(text) div {TEXT_BYTES}"))
-    total = training.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    total = texts.agg(F.coalesce(F.sum(F.greatest(F.lit(1), F.expr(f"octets div {TEXT_BYTES}"))), F.lit(0))).first()[0]
     share = min(1.0, max(WINDOW_SHARE, LEAST_WINDOWS / max(1, total)))
     shards = max(1, round(share * total / SHARD_WINDOWS))
-    marked = training.select("text", F.xxhash64(*training.columns).alias("mark"))
+    kind, turns = id_kind(size), turns_of(shards)
+
+    def dealt(keys: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+        place = keys // shards % turns * shards + keys % shards
+        order = np.argsort(place, kind="stable")
+        place = place[order]
+        edges = np.flatnonzero(np.r_[True, place[1:] != place[:-1], True])
+        turn, shard = np.divmod(place[edges[:-1]], shards)
+        columns = [pa.array(shard, pa.int32()), cells(keys[order], edges), cells(rows[order], edges), pa.array(turn, pa.int32())]
+        return pa.RecordBatch.from_arrays(columns, ["shard", "keys", "ids", "turn"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_ids(vocabulary)
-        for part, texts in texts_of(batches):
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for part in (part for batch in batches for part in slices(batch)):
             marks = part.column("mark").to_numpy().view(np.uint64)
-            ids, lengths = encoded(texts, encoder)
+            ids, lengths = laid_end_to_end(part.column("ids"), kind)
             stop, counts = np.cumsum(lengths), -(-lengths // WINDOW)
-            owner = np.repeat(np.arange(len(texts)), counts)
+            owner = np.repeat(np.arange(len(lengths)), counts)
             nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
             keys = mixed(marks[owner], nth)
             if share < 1:
@@ -177,16 +230,39 @@ def sample_windows(training: DataFrame, vocabulary: str) -> tuple[DataFrame, int
             first = (stop - lengths)[owner]
             for some in (slice(i, i + ROWS_OUT) for i in range(0, len(keys), ROWS_OUT)):
                 rows = drawn_windows(ids, (first + nth * WINDOW)[some], first[some], stop[owner][some])
-                edges = pa.py_buffer(np.arange(len(rows) + 1, dtype=np.int32) * rows.itemsize * rows.shape[1])
-                cells = pa.Array.from_buffers(pa.binary(), len(rows), [None, edges, pa.py_buffer(rows)])
-                yield pa.RecordBatch.from_arrays([pa.array(keys[some], pa.int64()), cells], ["key", "ids"])
+                held.append((keys[some], (rows + MARKS).astype(kind)))
+                if sum(len(k) for k, _ in held) >= ROWS_OUT:
+                    yield dealt(*map(np.concatenate, zip(*held)))
+                    held.clear()
+        if held:
+            yield dealt(*map(np.concatenate, zip(*held)))
+
+    schema = "shard int, keys binary, ids binary, turn int"
+    rows, path = texts.select("mark", "ids").mapInArrow(run, schema), new_folder(texts.sparkSession, "windows")
+    rows.write.partitionBy("turn").parquet(path)
+    return texts.sparkSession.read.schema(rows.schema).parquet(path), shards
+
+
+def windows_of(keys: list[bytes], ids: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and ids, with their marks, of the windows that were dealt together."""
+    rows = np.frombuffer(b"".join(ids), kind).reshape(-1, WINDOW + 1).astype(np.int32)
+    return np.frombuffer(b"".join(keys), np.int64), rows - MARKS
+
+
+def sample_windows(training: DataFrame, vocabulary: str) -> tuple[DataFrame, int]:
+    """``shard, key, ids, turn`` for each window that the training texts are dealt as, to look at; number of shards."""
+    size = vocabulary_size(vocabulary)
+    kind, none = id_kind(size), training.sparkSession.sparkContext.broadcast({})
+    source = training.select(F.lit(0).alias("doc_id"), "text", F.lit(True).alias("learn"), F.xxhash64(*training.columns).alias("mark"))
+    sample, shards = deal_windows(read_texts(source, vocabulary, kind, none), size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (row for batch in batches for row in batch.to_pylist()):
+            keys, ids = windows_of([row["keys"]], [row["ids"]], kind)
+            columns = [pa.array([row["shard"]] * len(keys), pa.int32()), pa.array(keys), cells(ids, np.arange(len(keys) + 1))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([row["turn"]] * len(keys), pa.int32())], ["shard", "key", "ids", "turn"])
 
-    found = marked.mapInArrow(run, "key bigint, ids binary")
-    turn = F.pmod(F.expr(f"key div {shards}"), F.lit(turns_of(shards))).cast("int").alias("turn")
-    dealt = found.select(F.pmod("key", F.lit(shards)).cast("int").alias("shard"), "key", "ids", turn)
-    path = new_folder(training.sparkSession, "windows")
-    dealt.write.partitionBy("turn").parquet(path)
-    return training.sparkSession.read.schema(dealt.schema).parquet(path), shards
+    return sample.mapInArrow(run, "shard int, key bigint, ids binary, turn int"), shards
 
 
 def mean_state(table: pa.Table) -> pa.Table:
@@ -201,15 +277,15 @@ def fitted(model: Attention, sample: DataFrame, rank: np.ndarray, turns: int = 1
 
     A round reads the windows of its turn; those of a shard are one task's, some tens of thousands.
     """
-    context, steps = sample.sparkSession.sparkContext, STEPS // ROUNDS
+    context, steps, kind = sample.sparkSession.sparkContext, STEPS // ROUNDS, id_kind(len(rank))
     ranks = context.broadcast(rank.astype(np.int32))
     over = STEPS if turns == 1 else steps * (ROUNDS // turns)  # steps in which a shard's windows of a turn are all seen
     for done in range(0, STEPS, steps):
         common = context.broadcast(model.state())
 
         def run(table: pa.Table) -> pa.Table:
-            table, rank = table.sort_by([("key", "ascending"), ("ids", "ascending")]), ranks.value
-            rows = np.frombuffer(b"".join(table.column("ids").to_pylist()), np.int32).reshape(-1, WINDOW + 1)
+            keys, rows = windows_of(table.column("keys").to_pylist(), table.column("ids").to_pylist(), kind)
+            rank, rows = ranks.value, rows[np.argsort(keys, kind="stable")]  # of one key are only the windows of equal texts
             before, target = rows[:, :-1], rows[:, 1:]
             known = np.where(before >= 0, 1 + np.minimum(rank[np.maximum(before, 0)], OWN), 0)
             shard = table.column("shard")[0].as_py()
@@ -220,7 +296,7 @@ def fitted(model: Attention, sample: DataFrame, rank: np.ndarray, turns: int = 1
             rows = pa.array([state[i : i + STATE_ROW].tobytes() for i in starts], pa.binary())
             return pa.table({"start": pa.array(starts, pa.int32()), "shard": pa.array([shard] * len(starts), pa.int32()), "state": rows})
 
-        turn = sample.where(F.col("turn") == done // steps % turns).select("shard", "key", "ids")
+        turn = sample.where(F.col("turn") == done // steps % turns).select("shard", "keys", "ids")
         parts = turn.groupBy("shard").applyInArrow(run, "start int, shard int, state binary")
         mean = parts.groupBy("start").applyInArrow(mean_state, "start int, state binary").toArrow().sort_by("start")
         if mean.num_rows:  # none where a turn has no windows
@@ -229,34 +305,78 @@ def fitted(model: Attention, sample: DataFrame, rank: np.ndarray, turns: int = 1
     return model
 
 
-def train(training: DataFrame, words: DataFrame, vocabulary: str):
-    """Fitted model with the ids' ranks and the rare ids' log shares."""
+def vocabulary_size(vocabulary: str) -> int:
     from tokenizers import Tokenizer
 
-    counts = count_ids(words, vocabulary, Tokenizer.from_file(vocabulary).get_vocab_size())
+    return Tokenizer.from_file(vocabulary).get_vocab_size()
+
+
+def train(texts: DataFrame, size: int):
+    """Model fitted to the stored texts, with the ids' ranks and the rare ids' log shares."""
+    counts = count_stored_ids(texts, size)
     rank, shares = id_ranks(counts)
     model = Attention().begin(np.sort(counts)[::-1])
-    sample, shards = sample_windows(training, vocabulary)
+    sample, shards = deal_windows(texts, size)
     return fitted(model, sample, rank, turns_of(shards)), rank, shares
 
 
-def log_probabilities(texts: list[bytes], encoder, learnt) -> np.ndarray:
-    """Log10 probability of each text under the model."""
+def log_probabilities(ids: np.ndarray, lengths: np.ndarray, learnt) -> np.ndarray:
+    """Log10 probability under the model of each text, whose ids are laid end to end."""
     model, rank, shares = learnt
-    ids, lengths = encoded(texts, encoder)
     before, place, owner, counted = laid_out(ids, lengths, rank)
     ranks, rare = rank[ids], shares[ids]
-    out = np.zeros(len(texts))
+    out = np.zeros(len(lengths))
     for at in range(0, len(owner), CHUNK):
         pick = counted[at : at + CHUNK]
         wanted = place[at : at + CHUNK][pick]
         split = range(at, min(at + CHUNK, len(owner)), PART)
         top = np.concatenate([model.hidden(before[i : i + PART])["top"][counted[i : i + PART].ravel()] for i in split])
         logs = model.log_shares(top, ranks[wanted]) + rare[wanted]
-        out += np.bincount(np.repeat(owner[at : at + CHUNK], pick.sum(axis=1)), logs, len(texts))
+        out += np.bincount(np.repeat(owner[at : at + CHUNK], pick.sum(axis=1)), logs, len(lengths))
     return out / math.log(10)
 
 
+def read_texts(source: DataFrame, vocabulary: str, kind: str, common: Broadcast) -> DataFrame:
+    """Each text of ``doc_id, text, learn, mark`` read once and stored: its ids, its length, its words and what they weigh.
+
+    ``common`` has the log10 weights of the words that are known everywhere; ``rare`` are the other ones.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, logs, row = word_ids(vocabulary), common.value, TaskContext.get().partitionId() << 32
+        unseen, end = 0.0 if END in logs else math.log10(0.5), END_ID.to_bytes(4, "little")
+        for part, texts in texts_of(batches):
+            n_tokens, n_known, base, rare, ids = [], [], [], [], []
+            for text in texts:
+                found = text.split()
+                ids.append(np.frombuffer(encoder.joined(found) + end, "<u4").astype(kind).tobytes())
+                found.append(END)
+                values = list(map(logs.get, found))
+                missing = values.count(None)
+                rare.append([w for w, v in zip(found, values) if v is None and w] if missing else [])
+                n_tokens.append(len(found))
+                n_known.append(len(found) - missing)
+                base.append(math.fsum(filter(None, values)) + unseen)  # no logarithm of a half and a whole number is 0
+            columns = {
+                "row": pa.array(np.arange(row, row + len(texts))),
+                **{name: part.column(name) for name in ("doc_id", "learn", "mark")},
+                "octets": pa.array([len(t) for t in texts], pa.int64()),
+                "n_tokens": pa.array(n_tokens, pa.int64()),
+                "n_known": pa.array(n_known, pa.int64()),
+                "base": pa.array(base, pa.float64()),
+                "rare": pa.array(rare, pa.list_(pa.binary())),
+                "ids": pa.array(ids, pa.binary()),
+            }
+            row += len(texts)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    schema = (
+        f"row bigint, doc_id {source.schema['doc_id'].dataType.simpleString()}, learn boolean, mark bigint, octets bigint, "
+        "n_tokens bigint, n_known bigint, base double, rare array<binary>, ids binary"
+    )
+    return settle(source.mapInArrow(run, schema), "texts")
+
+
 def score(
     documents: DataFrame,
     is_training: Column,
@@ -282,52 +402,32 @@ def score(
     common = context.broadcast({w: math.log10(n + 0.5) for w, n in head.items()})
     least = min(n for w, n in head.items() if w) if len(head) > HEAD_WORDS else 0
     del head
-    learnt = context.broadcast(train(training, words, vocabulary))
+    size = vocabulary_size(vocabulary)
+    kind = id_kind(size)
+    texts = read_texts(source.withColumn("mark", F.xxhash64("doc_id", "text")), vocabulary, kind, common)
+    learnt = context.broadcast(train(texts.where("learn"), size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, logs, row = word_ids(vocabulary), common.value, TaskContext.get().partitionId() << 32
-        for part, texts in texts_of(batches):
-            n_tokens, n_known, base, rare = [], [], [], []
-            for text in texts:
-                found = text.split()
-                found.append(END)
-                values = list(map(logs.get, found))
-                missing = values.count(None)
-                rare.append([w for w, v in zip(found, values) if v is None and w] if missing else [])
-                n_tokens.append(len(found))
-                n_known.append(len(found) - missing)
-                unseen = 0.0 if END in logs else math.log10(0.5)
-                base.append(math.fsum(filter(None, values)) + unseen)  # no logarithm of a half and a whole number is 0
-            scores = log_probabilities(texts, encoder, learnt.value)
-            columns = [
-                pa.array(np.arange(row, row + len(texts))),
-                part.column("doc_id"),
-                pa.array(n_tokens, pa.int64()),
-                pa.array(n_known, pa.int64()),
-                pa.array(base, pa.float64()),
-                pa.array(scores),
-                pa.array(rare, pa.list_(pa.binary())),
-            ]
-            row += len(texts)
-            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "n_tokens", "n_known", "base", "score", "rare"])
+        for part in (part for batch in batches for part in slices(batch)):
+            scores = log_probabilities(*laid_end_to_end(part.column("ids"), kind), learnt.value)
+            yield part.drop_columns("ids").append_column("score", pa.array(scores))
 
-    kind = source.schema["doc_id"].dataType.simpleString()
-    schema = f"row bigint, doc_id {kind}, n_tokens bigint, n_known bigint, base double, score double, rare array<binary>"
-    scored = settle(source.select("doc_id", "text").mapInArrow(run, schema), "scored")
+    read = texts.select("row", "doc_id", "n_tokens", "n_known", "base", "ids")
+    scored = settle(read.mapInArrow(run, read.drop("ids").withColumn("score", F.lit(0.0)).schema), "scored")
     counts = words.where(F.col("times") <= least) if least else words.where("false")
     value = F.log10(F.coalesce("times", F.lit(0)) + 0.5)
     rare = (
-        scored.select("row", F.explode("rare").alias("word"))
+        texts.select("row", F.explode("rare").alias("word"))
         .join(counts, "word", "left")
         .groupBy("row")
         .agg(F.sum(value).alias("rare_base"), F.count("times").alias("rare_known"))
     )
-    size = math.log10(tokens + 0.5 * (kinds + 1))
-    return scored.drop("rare").join(rare, "row", "left").select(
+    width = math.log10(tokens + 0.5 * (kinds + 1))
+    return scored.join(rare, "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * size).alias("base_score"),
+        (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * width).alias("base_score"),
         "score",
     )

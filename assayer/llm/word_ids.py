@@ -70,8 +70,11 @@ class WordIds(dict):
 
     def encode(self, text: bytes) -> bytes:
         """Ids of a whole text; upper case is kept where it tells a special token's name apart."""
+        return self.joined((text if SPECIAL in text else text.lower()).split())
+
+    def joined(self, chunks: list[bytes]) -> bytes:
+        """Ids of a text cut into its chunks."""
         self.make_room()
-        chunks = (text if SPECIAL in text else text.lower()).split()
         return b"".join(map(self.__getitem__, chunks))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -86,6 +87,25 @@ def test_classes_of_a_step_are_weighed_together(monkeypatch):
     assert not rare["within"].any() and not rare["inner"].any()
 
 
+def test_a_step_uses_its_arrays_again():
+    """New arrays of a step's size are taken from the system page by page, which took half of the scoring's time."""
+    rng = np.random.default_rng(6)
+    inputs, rank = (rng.integers(0, 900, (attention.BATCH, attention.WINDOW)) for _ in range(2))
+    model = attention.Attention()
+    steps = [lambda: model.gradients(inputs, rank, rank > 0), lambda: model.log_shares(model.hidden(inputs)["top"], rank.ravel())]
+    for step in steps:
+        step()
+        tracemalloc.start()
+        step()
+        assert tracemalloc.get_traced_memory()[1] < 500_000
+        tracemalloc.stop()
+    kept = model.hidden(inputs)["top"]
+    before = kept.copy()
+    model.gradients(inputs[::-1], rank, rank > 0)
+    model.hidden(inputs[::-1])
+    assert np.array_equal(kept, before)
+
+
 def test_rows_are_summed_by_place():
     rng = np.random.default_rng(5)
     place, rows = rng.integers(0, 6, 40), rng.standard_normal((40, 3))
@@ -206,6 +226,27 @@ def test_every_training_id_is_learnt_from(spark, words):
         assert np.array_equal(next(late), seen[2 * size : 3 * size])
 
 
+def test_texts_are_encoded_once_and_dealt_together(spark, documents):
+    """Ids are stored, counted and dealt as read; a task's windows for a turn and shard are one row."""
+    size = lm_scoring.vocabulary_size(WORD_FILE)
+    source = documents.repartition(2).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit(True).alias("learn"))
+    common, kind = spark.sparkContext.broadcast({}), lm_scoring.id_kind(size)
+    texts = lm_scoring.read_texts(source.withColumn("mark", F.xxhash64("doc_id", "text")), WORD_FILE, kind, common)
+    rows, encoder = sorted(source.collect(), key=str), WordIds(WORD_FILE)
+    ids, lengths = lm_scoring.encoded([r.text.encode().lower() for r in rows], encoder)
+    stored = sorted(texts.select("doc_id", "ids").collect(), key=lambda r: (str(r.doc_id), bytes(r.ids)))
+    wanted = zip(rows, np.split(ids, np.cumsum(lengths)[:-1]))
+    assert stored == sorted(((r.doc_id, i.astype(kind).tobytes()) for r, i in wanted), key=lambda r: (str(r[0]), r[1]))
+    words = lm_scoring.count_words(source.select("text"))
+    assert np.array_equal(lm_scoring.count_stored_ids(texts, size), lm_scoring.count_ids(words, WORD_FILE, size))
+    dealt, shards = lm_scoring.deal_windows(texts, size)
+    groups = dealt.collect()
+    windows = [lm_scoring.windows_of([r["keys"]], [r.ids], kind) for r in groups]
+    assert shards == 1 and len(groups) <= 2 < sum(len(keys) for keys, _ in windows)
+    target = np.concatenate([rows[:, 1:].ravel() for _, rows in windows])
+    assert Counter(target[target >= 0].tolist()) == Counter(ids.tolist())
+
+
 def test_ids_are_counted_over_all_words(documents):
     training = documents.select(F.coalesce("text", F.lit("")).alias("text"))
     counts = lm_scoring.count_ids(lm_scoring.count_words(training), WORD_FILE, 49408)
