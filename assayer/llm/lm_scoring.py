@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.llm.attention import BATCH, OWN, ROUNDS, SEED, STEPS, WINDOW, Attention, id_ranks, windows
-from assayer.llm.word_ids import word_ids
+from assayer.llm.word_ids import release, word_ids
 from assayer.session import new_folder, settle
 
 HEAD_WORDS = 1 << 18
@@ -216,6 +216,7 @@ def deal_windows(texts: DataFrame, size: int) -> tuple[DataFrame, int]:
         return pa.RecordBatch.from_arrays(columns, ["shard", "keys", "ids", "turn"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for part in (part for batch in batches for part in slices(batch)):
             marks = part.column("mark").to_numpy().view(np.uint64)
@@ -284,6 +285,7 @@ def fitted(model: Attention, sample: DataFrame, rank: np.ndarray, turns: int = 1
         common = context.broadcast(model.state())
 
         def run(table: pa.Table) -> pa.Table:
+            release()
             keys, rows = windows_of(table.column("keys").to_pylist(), table.column("ids").to_pylist(), kind)
             rank, rows = ranks.value, rows[np.argsort(keys, kind="stable")]  # of one key are only the windows of equal texts
             before, target = rows[:, :-1], rows[:, 1:]
@@ -408,6 +410,7 @@ def score(
     learnt = context.broadcast(train(texts.where("learn"), size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part in (part for batch in batches for part in slices(batch)):
             scores = log_probabilities(*laid_end_to_end(part.column("ids"), kind), learnt.value)
             yield part.drop_columns("ids").append_column("score", pa.array(scores))

@@ -10,6 +10,8 @@ import re
 import sys
 from array import array
 
+import pyarrow as pa
+
 PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,]*)")
 SPECIAL = b"<|"
 assert sys.byteorder == "little" and array("I").itemsize == 4  # ids are little-endian 32-bit numbers
@@ -86,3 +88,10 @@ def word_ids(path: str) -> WordIds:
     if path not in _READY:
         _READY[path] = WordIds(path)
     return _READY[path]
+
+
+def release() -> None:
+    """Let go of the worker's encoders and of free memory that Arrow holds, where all texts are encoded."""
+    if _READY:
+        _READY.clear()
+        pa.default_memory_pool().release_unused()

@@ -13,7 +13,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from assayer.llm import attention, language_id, lm_scoring, personal_data
+from assayer.llm import attention, language_id, lm_scoring, personal_data, word_ids
 from assayer.llm.word_ids import WordIds
 from tests.llm.conftest import SCHEMA, document
 
@@ -247,6 +247,13 @@ def test_texts_are_encoded_once_and_dealt_together(spark, documents):
     assert Counter(target[target >= 0].tolist()) == Counter(ids.tolist())
 
 
+def test_encoders_are_let_go():
+    first = word_ids.word_ids(WORD_FILE)
+    assert word_ids.word_ids(WORD_FILE) is first
+    word_ids.release()
+    assert word_ids.word_ids(WORD_FILE) is not first
+
+
 def test_ids_are_counted_over_all_words(documents):
     training = documents.select(F.coalesce("text", F.lit("")).alias("text"))
     counts = lm_scoring.count_ids(lm_scoring.count_words(training), WORD_FILE, 49408)
