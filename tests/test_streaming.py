@@ -252,6 +252,34 @@ def test_files_of_a_batch_have_models_of_their_own(spark, tmp_path, incoming):
     assert together.pointer().last == 8 and together.promoted()[0] == 8
 
 
+def test_only_stored_models_reach_python(spark, tmp_path, incoming, monkeypatch):
+    """PySpark's model wraps every tree, which fits side by side would wait for; a large file's rows are dealt out."""
+    from assayer.streaming import retrain
+
+    monkeypatch.setattr(retrain, "TASK_ROWS", 200)
+    wrapped, create = [], retrain.RandomForestClassifier._create_model
+    monkeypatch.setattr(retrain.RandomForestClassifier, "_create_model", lambda self, java: wrapped.append(java) or create(self, java))
+    fitted, fit = [], retrain.RandomForestClassifier._fit_java
+    monkeypatch.setattr(
+        retrain.RandomForestClassifier, "_fit_java", lambda self, rows: fitted.append(rows.rdd.glom().map(len).collect()) or fit(self, rows)
+    )
+    for i in range(5):
+        write(incoming, f"{i}.csv", 100, seed=i)
+    write(incoming, "large.csv", 600, seed=9)
+    store = ModelStore(spark, str(tmp_path / "store"))
+    retrainer = Retrainer(store, trees=3, file_column="file")
+    rows = read_csv(spark, str(incoming)).withColumn("file", F.col("_metadata.file_name"))
+    retrainer(rows.limit(0), 0)
+    assert store.records().isEmpty() and not wrapped
+    retrainer(rows, 1)
+    assert len(wrapped) == store.keep and len(fitted) == 6
+    assert sorted(map(len, fitted)) == [1] * 5 + [3] and max(max(parts) for parts in fitted) <= 200
+    found = store.records().collect()
+    assert sorted(r["n_rows"] for r in found) == [100] * 5 + [600] and all(r["auc"] > 0.5 for r in found)
+    assert store.latest().getNumTrees == 3
+    assert not [f for f in (tmp_path.parent).rglob("sides-*") if f.is_dir()]
+
+
 def test_large_batches_are_fitted_in_small_parts(spark, tmp_path, incoming, monkeypatch):
     from assayer.streaming import retrain
 
