@@ -34,8 +34,9 @@ from assayer.session import discard, settle
 
 SHARDS = 8
 MIXED_TERMS = 1_000_000  # most terms that ``fit_mixed`` takes
-BLOCK_TERMS = 2_000_000  # terms of a block, whose numbers and weights are broadcast (16 bytes each)
-BLOCKS_AT_ONCE = 4
+BLOCK_TERMS = 4_000_000  # terms of a block, whose weights are broadcast (8 bytes each)
+BLOCKS_AT_ONCE = 2
+RUN_BITS = 12  # weights of 4,096 numbers that follow one another are a row of the broadcast
 BIAS_NUMBER = -1
 PATIENCE = 5
 BIAS = "\u0001bias"  # no cleaned term holds this character
@@ -96,6 +97,21 @@ def numbered_terms(rows: DataFrame, block_terms: int = BLOCK_TERMS) -> DataFrame
     return settle(numbered, "numbered-terms")
 
 
+def weight_runs(model: DataFrame) -> DataFrame:
+    """``(run, first, ws)`` of ``model(i, w)``: the weights of each run of numbers in one array, from the run's ``first`` on.
+
+    A broadcast of single weights holds some 80 bytes of each on the driver, which builds it, this one 8.
+    Numbers that the model lacks have a null between others.
+    """
+    cells = F.array_sort(F.collect_list(F.struct("i", "w"))).alias("cells")
+    runs = model.groupBy(F.shiftright("i", RUN_BITS).alias("run")).agg(cells)
+    runs = runs.select("run", "cells", F.get("cells.i", F.lit(0)).alias("first"), F.element_at("cells.i", -1).alias("last"))
+    known = F.map_from_entries("cells")
+    filled = F.transform(F.sequence("first", "last"), lambda i: F.element_at(known, i))
+    gapless = F.col("last") - F.col("first") + 1 == F.size("cells")
+    return runs.select("run", "first", F.when(gapless, F.col("cells.w")).otherwise(filled).alias("ws"))
+
+
 @dataclass
 class KeptRows:
     """Training rows ``(key, y, block, i, weight)``, dealt by document once; each document has a row for the bias.
@@ -118,6 +134,12 @@ class KeptRows:
     def __exit__(self, *failure) -> None:
         self.held.unpersist()
 
+    def _products(self, rows: DataFrame, model: DataFrame) -> DataFrame:
+        """``rows`` where they are, each with its ``signed`` times its weight; without a weight it has none."""
+        found = rows.withColumn("run", F.shiftright("i", RUN_BITS)).join(F.broadcast(weight_runs(model)), "run")
+        w = F.get("ws", (F.col("i") - F.col("first")).cast("int"))
+        return found.select(self.key, "i", "signed", (F.col("signed") * w).alias("product"))
+
     def misjudged(self, model: DataFrame) -> DataFrame:
         """Rows ``(i, correction)`` of the documents that ``model(block, i, w)`` puts on the wrong side, or on neither.
 
@@ -125,18 +147,16 @@ class KeptRows:
         the margins is summed in place, and only these parts and the misjudged documents are shuffled.
         """
         key, correction = self.key, F.col("signed").alias("correction")
-        product = F.col("signed") * F.col("w")
         if self.blocks == 1:
-            joined = self.held.join(F.broadcast(model.select("i", "w")), "i")
-            margin = F.sum(product).over(W.partitionBy(key))
-            return joined.withColumn("margin", margin).where(F.col("margin") <= 0).select("i", correction)
+            products = self._products(self.held, model)
+            margin = F.sum("product").over(W.partitionBy(key))
+            return products.withColumn("margin", margin).where(F.col("margin") <= 0).select("i", correction)
         parts = []
         for first in range(0, self.blocks, BLOCKS_AT_ONCE):
             some = [
-                self.held.where(F.col("block") == b)
-                .join(F.broadcast(model.where(F.col("block") == b).select("i", "w")), "i")
+                self._products(self.held.where(F.col("block") == b), model.where(F.col("block") == b))
                 .groupBy(key)
-                .agg(F.sum(product).alias("part"))
+                .agg(F.sum("product").alias("part"))
                 for b in range(first, min(self.blocks, first + BLOCKS_AT_ONCE))
             ]
             parts.append(settle(reduce(DataFrame.unionByName, some), "margins"))

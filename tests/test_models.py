@@ -65,6 +65,26 @@ def test_training_rows_stay_where_they_are(separable):
     assert "Window" in top and "Exchange hashpartitioning(id" not in top
 
 
+def test_weights_are_broadcast_by_runs(spark, monkeypatch):
+    """The driver builds a row for thousands of weights, not one for each; numbers may be missing in between."""
+    sent, broadcast = [], perceptron.F.broadcast
+    monkeypatch.setattr(perceptron.F, "broadcast", lambda df: sent.append(df) or broadcast(df))
+    number = F.when(F.col("id") % 3000 == 0, -1).otherwise(F.col("id") + (1 << 33))
+    rows = spark.range(20_000).select(
+        (F.col("id") % 50).alias("doc"), F.lit(1.0).alias("y"), F.lit(0).alias("block"), number.alias("i"), F.lit(1.0).alias("weight")
+    )
+    known = rows.where((F.col("i") < 0) | (F.col("i") % 7 > 0)).select("block", "i").distinct()
+    model = known.withColumn("w", F.when(F.col("i") % 50 < 20, -1.0).otherwise(0.5))
+    with perceptron.KeptRows(rows, "doc", 1) as kept:
+        found = sorted(r["i"] for r in kept.misjudged(model).collect())
+    weight = {r["i"]: r["w"] for r in model.collect()}
+    sums, dealt = {}, [(r["doc"], r["i"]) for r in rows.collect()]
+    for doc, i in dealt:
+        sums[doc] = sums.get(doc, 0) + weight.get(i, 0)
+    assert found == sorted(i for doc, i in dealt if sums[doc] <= 0) and 0 < len(found) < 20_000
+    assert len(sent) == 1 and sent[0].count() <= 7
+
+
 def test_summed_stops_and_shares_the_last_model(separable):
     docs, weights = separable
     models = perceptron.fit_perceptron(weights, docs, "id", "label")
