@@ -134,9 +134,9 @@ def perceptron_sides(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     rows = headlines.term_arrays(spark, folder)  # read from stored lemmas, so the longer arrays are not stored too
     vocabulary = fit_vocabulary(headlines.only(rows, "train"), "terms")
     sides = settle(rows.select("id", "label", "split"), "sides")
-    weights = settle(
-        tfidf(rows, "id", "terms", vocabulary).join(sides.select("id", "split"), "id"), "weights"
-    )
+    # Weights come out dealt and sorted by document, so a merge moves the sides alone and the driver builds no table of them.
+    split = sides.select("id", "split").hint("merge")
+    weights = settle(tfidf(rows, "id", "terms", vocabulary).join(split, "id"), "weights")
     return {"rows": sides, "weights": weights}
 
 

@@ -85,6 +85,21 @@ def test_weights_are_broadcast_by_runs(spark, monkeypatch):
     assert len(sent) == 1 and sent[0].count() <= 7
 
 
+def test_sides_meet_weights_in_a_merge(spark, small, monkeypatch):
+    """The driver builds no table of all documents, and weights are not shuffled once more for it."""
+    written, settle = {}, plans.settle
+
+    def seen(df, name):
+        written[name] = df
+        return settle(df, name)
+
+    monkeypatch.setattr(plans, "settle", seen)
+    plans.perceptron_sides(spark, small)
+    plan = written["weights"]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [id" in plan and "BroadcastHashJoin [id" not in plan
+    assert plan.count("Exchange hashpartitioning(id") == 2  # documents and sides
+
+
 def test_summed_stops_and_shares_the_last_model(separable):
     docs, weights = separable
     models = perceptron.fit_perceptron(weights, docs, "id", "label")
